@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from basketlens.functions.columns import stable
+from basketlens.operators.skew import join_in_slices
 from basketlens.session import cut_lineage
 
 # an item in more orders than this may be hot
@@ -60,13 +61,14 @@ def hot_items(past: DataFrame, hot_rows: int) -> DataFrame:
     return counts.filter(F.col("n") > max(hot_rows, total // HOT_ITEMS)).select("item")
 
 
-def _pairs(new: DataFrame, past: DataFrame, same_orders: bool) -> DataFrame:
-    """(basket_id, order_id, sizes, overlap) for baskets and orders with a common item."""
+def _pairs(new: DataFrame, past: DataFrame, same_orders: bool, new_rows: DataFrame, rows: DataFrame) -> DataFrame:
+    """(basket_id, order_id, sizes, overlap) for baskets and orders with a common item. The last two
+    tables have the items of the first two, for counting."""
     if same_orders:
         # new and past are the same table: each unordered pair once, then both directions
         a = past.select("item", F.col("order_id").alias("a"), F.col("size").alias("a_size"), F.col("fold").alias("a_fold"))
         b = past.select("item", F.col("order_id").alias("b"), F.col("size").alias("b_size"), F.col("fold").alias("b_fold"))
-        met = a.join(b, "item").filter("a < b")
+        met = join_in_slices(a, b, ["item"], "a", "b", left_rows=rows, right_rows=rows).filter("a < b")
         pairs = met.groupBy("a", "b", "a_size", "b_size").agg(F.count("*").alias("overlap"))
 
         def seen(x: str, y: str) -> Column:
@@ -79,10 +81,15 @@ def _pairs(new: DataFrame, past: DataFrame, same_orders: bool) -> DataFrame:
 
         both = F.explode(F.array(seen("a", "b"), seen("b", "a"))).alias("p")
         return pairs.select(both, "overlap").select("p.*", "overlap")
-    met = new.select("item", "basket_id", F.col("size").alias("b_size"), F.col("fold").alias("b_fold")).join(
-        past.select("item", "order_id", F.col("size").alias("o_size"), F.col("fold").alias("o_fold")), "item"
-    )
-    met = met.filter("b_fold <> o_fold")
+    met = join_in_slices(
+        new.select("item", "basket_id", F.col("size").alias("b_size"), F.col("fold").alias("b_fold")),
+        past.select("item", "order_id", F.col("size").alias("o_size"), F.col("fold").alias("o_fold")),
+        ["item"],
+        "basket_id",
+        "order_id",
+        left_rows=new_rows,
+        right_rows=rows,
+    ).filter("b_fold <> o_fold")
     return met.groupBy("basket_id", "order_id", "b_size", "o_size").agg(F.count("*").alias("overlap"))
 
 
@@ -120,11 +127,12 @@ def nearest_orders(
     """
     if "fold" not in past.columns:
         new, past = new.withColumn("fold", F.lit(1)), past.withColumn("fold", F.lit(0))
+    new_items, past_items = new.select("item"), past.select("item")
     past = _sized(past, "order_id")
     new = past.withColumnRenamed("order_id", "basket_id") if same_orders else _sized(new, "basket_id")
-    hot = hot_items(past, hot_rows)
+    hot = hot_items(past_items, hot_rows)
     if hot.isEmpty():
-        pairs = _pairs(new, past, same_orders)
+        pairs = _pairs(new, past, same_orders, new_items, past_items)
         sims = pairs.select("basket_id", "order_id", cosine_of_sets(F.col("overlap"), F.col("b_size"), F.col("o_size")).alias("sim"))
         return Nearest(_ranked_singles(sims, k, ties).drop("rank"))
     return _nearest_with_hot_items(new, past, k, ties, same_orders, cut_lineage(hot))
@@ -147,7 +155,7 @@ def _nearest_with_hot_items(
     o_pattern = orders.select("order_id", F.col("pattern").alias("g_pattern"), F.col("fold").alias("g_fold"))
     common_hot = F.size(F.array_intersect("b_pattern", "g_pattern"))
     sims = cut_lineage(
-        _pairs(cold_new, cold_past, same_orders)
+        _pairs(cold_new, cold_past, same_orders, cold_new.select("item"), cold_past.select("item"))
         .join(b_pattern, "basket_id")
         .join(o_pattern, "order_id")
         .withColumn("sim", cosine_of_sets(F.col("overlap") + common_hot, F.col("b_size"), F.col("o_size")))

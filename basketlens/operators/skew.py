@@ -1,4 +1,4 @@
-"""Splitting of hot join groups, and size checks before a broadcast."""
+"""Joins whose output is far larger than their input, and size checks before a broadcast."""
 
 from __future__ import annotations
 
@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # rows of one side that one join group may hold before it is split
-GROUP_ROWS = 50_000
+GROUP_ROWS = 20_000
+# joined rows to give one task
+TASK_PAIRS = 2_000_000
+MOST_TASKS = 100_000
 # rows a checked broadcast may have
 BROADCAST_ROWS = 1_000_000
 
@@ -16,32 +19,61 @@ def if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def hot_groups(df: DataFrame, keys: list[str], group_rows: int) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > group_rows)
-
-
 def join_in_slices(
-    left: DataFrame, right: DataFrame, keys: list[str], left_id: str, right_id: str, group_rows: int = GROUP_ROWS
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    left_id: str,
+    right_id: str,
+    group_rows: int = GROUP_ROWS,
+    left_rows: DataFrame | None = None,
+    right_rows: DataFrame | None = None,
 ) -> DataFrame:
-    """Inner join that splits hot groups of the right side into a grid of slices.
+    """Inner equi-join, planned by the number of joined rows instead of the size of its input.
+
+    The rows per key are counted first. They tell how many rows the join will give, and so how many
+    tasks it needs; adaptive execution would size the tasks by the small input. A key with more than
+    ``group_rows`` rows on a side is cut into a grid: each side by hash of its row id, and every
+    left slice meets every right slice once, in tasks of their own. No pair is lost or doubled.
 
-    A group with more than ``group_rows`` rows on the right is cut into slices on both sides by
-    hash of the row ids; each left slice meets each right slice once. All pairs stay, spread over
-    many tasks. Without hot groups it is the plain join.
+    ``left_rows`` and ``right_rows`` are tables to count instead, if those with the same keys exist
+    in a cheaper form.
     """
-    hot = hot_groups(right, keys, group_rows)
-    if hot.isEmpty():
-        return left.join(right, keys)
-    cuts = hot.select(*keys, F.ceil(F.col("n") / group_rows).cast("int").alias("_cuts"))
+
+    def per_key(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(*keys).agg(F.count("*").alias(name))
+
+    n_left = per_key(left if left_rows is None else left_rows, "n_left")
+    n_right = per_key(right if right_rows is None else right_rows, "n_right")
+    counted = n_left.join(n_right, keys)
+    totals = counted.agg(
+        F.sum(F.col("n_left").cast("double") * F.col("n_right")).alias("pairs"),
+        F.max(F.greatest("n_left", "n_right")).alias("most"),
+    ).first()
+    spark = left.sparkSession
+    wanted = int((totals["pairs"] or 0) / TASK_PAIRS) + 1
+    tasks = min(max(wanted, spark.sparkContext.defaultParallelism), MOST_TASKS)
+    if (totals["most"] or 0) <= group_rows:
+        return left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys)
+
+    cuts = counted.filter(F.greatest("n_left", "n_right") > group_rows).select(
+        *keys,
+        F.ceil(F.col("n_left") / group_rows).alias("_cut_left"),
+        F.ceil(F.col("n_right") / group_rows).alias("_cut_right"),
+    )
 
     def sliced(df: DataFrame, own: str, other: str, row_id: str) -> DataFrame:
-        cut = F.coalesce(F.col("_cuts"), F.lit(1))
         return (
             df.join(cuts, keys, "left")
-            .withColumn(own, F.pmod(F.xxhash64(row_id), cut))
-            .withColumn(other, F.explode(F.sequence(F.lit(0), cut - 1)).cast("bigint"))
-            .drop("_cuts")
+            .withColumn("_own" + own, F.pmod(F.xxhash64(row_id), F.coalesce("_cut" + own, F.lit(1))))
+            .withColumn("_own" + other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_cut" + other, F.lit(1)) - 1)))
+            .drop("_cut_left", "_cut_right")
         )
 
-    pieces = [*keys, "_l", "_r"]
-    return sliced(left, "_l", "_r", left_id).join(sliced(right, "_r", "_l", right_id), pieces).drop("_l", "_r")
+    pieces = [*keys, "_own_left", "_own_right"]
+    return (
+        sliced(left, "_left", "_right", left_id)
+        .repartition(tasks, *pieces)
+        .join(sliced(right, "_right", "_left", right_id).repartition(tasks, *pieces), pieces)
+        .drop("_own_left", "_own_right")
+    )
