@@ -10,7 +10,7 @@ from basketlens.fixed_values import ADJUSTMENT_DESCRIPTIONS, NON_PRODUCT_CODES,
 
 def trimmed(text: Column) -> Column:
     """Text without outer white space; a blank cell is a missing one."""
-    return F.nullif(F.regexp_replace(text, r"^\s+|\s+$", ""), F.lit(""))
+    return F.nullif(F.btrim(text, F.lit(" \t\n\x0b\f\r")), F.lit(""))
 
 
 def is_cancellation(invoice: Column) -> Column:

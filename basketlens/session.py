@@ -14,6 +14,8 @@ def local_session(app: str = "basketlens", cores: str = "*", partitions: int = 8
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # a join whose partitions all prove small at run time is hashed instead of sorted
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.enabled", "false")
