@@ -21,6 +21,8 @@ class Metric:
     sums: Callable[[], dict[str, Column]]
     value: Callable[[], Column]
     symmetric: bool = True
+    # the similarity is the product of unit vectors: the sum of x * x over common columns
+    unit_terms: bool = False
 
 
 def _unit_length(ratings: DataFrame, entity: list[str]) -> DataFrame:
@@ -49,6 +51,7 @@ COSINE = Metric(
     carried=["x"],
     sums=lambda: {"dot": F.sum(_product())},
     value=lambda: F.col("dot"),
+    unit_terms=True,
 )
 
 # means over all ratings of a column, sums over the common rows only: not the same as F.corr

@@ -21,14 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from basketlens.functions.columns import stable
-from basketlens.operators.skew import join_in_slices
+from basketlens.operators.skew import HOT_ROWS, hot_keys, join_in_slices
 from basketlens.session import cut_lineage
 
-# an item in more orders than this may be hot
-HOT_ROWS = 50_000
-# items that can be hot at most, which bounds the broadcast of the hot items
-HOT_ITEMS = 100_000
-
 GROUP = ["g_fold", "g_pattern", "g_size"]
 
 
@@ -53,14 +48,6 @@ def _sized(df: DataFrame, row_id: str) -> DataFrame:
     return df.join(df.groupBy(row_id).agg(F.count("*").alias("size")), row_id)
 
 
-def hot_items(past: DataFrame, hot_rows: int) -> DataFrame:
-    """Items in more than ``hot_rows`` orders, and in more than 1 / HOT_ITEMS of all rows, so that
-    there are never more than HOT_ITEMS of them."""
-    counts = past.groupBy("item").agg(F.count("*").alias("n"))
-    total = past.count()
-    return counts.filter(F.col("n") > max(hot_rows, total // HOT_ITEMS)).select("item")
-
-
 def _pairs(new: DataFrame, past: DataFrame, same_orders: bool, new_rows: DataFrame, rows: DataFrame) -> DataFrame:
     """(basket_id, order_id, sizes, overlap) for baskets and orders with a common item. The last two
     tables have the items of the first two, for counting."""
@@ -130,7 +117,7 @@ def nearest_orders(
     new_items, past_items = new.select("item"), past.select("item")
     past = _sized(past, "order_id")
     new = past.withColumnRenamed("order_id", "basket_id") if same_orders else _sized(new, "basket_id")
-    hot = hot_items(past_items, hot_rows)
+    hot = hot_keys(past_items, ["item"], hot_rows)
     if hot.isEmpty():
         pairs = _pairs(new, past, same_orders, new_items, past_items)
         sims = pairs.select("basket_id", "order_id", cosine_of_sets(F.col("overlap"), F.col("b_size"), F.col("o_size")).alias("sim"))

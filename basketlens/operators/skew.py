@@ -10,6 +10,10 @@ GROUP_ROWS = 20_000
 # joined rows to give one task
 TASK_PAIRS = 2_000_000
 MOST_TASKS = 100_000
+# a join key with more rows than this may be hot
+HOT_ROWS = 50_000
+# keys that can be hot at most
+HOT_KEYS = 100_000
 # rows a checked broadcast may have
 BROADCAST_ROWS = 1_000_000
 
@@ -19,6 +23,13 @@ def if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, and with more than 1 / HOT_KEYS of all rows, so that
+    there are never more than HOT_KEYS of them: they may be broadcast."""
+    counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    return counts.filter(F.col("n") > max(hot_rows, df.count() // HOT_KEYS)).select(*keys)
+
+
 def join_in_slices(
     left: DataFrame,
     right: DataFrame,
