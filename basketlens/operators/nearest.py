@@ -118,11 +118,11 @@ def nearest_orders(
     past = _sized(past, "order_id")
     new = past.withColumnRenamed("order_id", "basket_id") if same_orders else _sized(new, "basket_id")
     hot = hot_keys(past_items, ["item"], hot_rows)
-    if hot.isEmpty():
+    if hot is None:
         pairs = _pairs(new, past, same_orders, new_items, past_items)
         sims = pairs.select("basket_id", "order_id", cosine_of_sets(F.col("overlap"), F.col("b_size"), F.col("o_size")).alias("sim"))
         return Nearest(_ranked_singles(sims, k, ties).drop("rank"))
-    return _nearest_with_hot_items(new, past, k, ties, same_orders, cut_lineage(hot))
+    return _nearest_with_hot_items(new, past, k, ties, same_orders, hot)
 
 
 def _nearest_with_hot_items(

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
+
+from basketlens.session import cut_lineage
 
 # rows of one side that one join group may hold before it is split
 GROUP_ROWS = 20_000
@@ -14,20 +17,48 @@ MOST_TASKS = 100_000
 HOT_ROWS = 50_000
 # keys that can be hot at most
 HOT_KEYS = 100_000
+# places up to which Spark prunes a ranking window before its shuffle
+WINDOW_ROWS = 1_000
 # rows a checked broadcast may have
 BROADCAST_ROWS = 1_000_000
 
 
-def if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark for broadcast only when a count proves it small; else Spark shuffles it."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def join_small(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, right_id: str, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Inner join with a right side that is broadcast only when a count proves it small; else the
+    rows of both sides are sliced, so that a key in very many left rows is no single task."""
+    if right.limit(rows + 1).count() <= rows:
+        return left.join(F.broadcast(right), keys)
+    return join_in_slices(left, right, keys, left_id, right_id)
+
 
+def numbered_in_order(df: DataFrame, by: list[str], order: list[Column], limit: int, name: str, window_rows: int = WINDOW_ROWS) -> DataFrame:
+    """The first ``limit`` rows of each ``by`` group in the given order, with their place from 1.
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    A short limit is a window, of which Spark drops all but the first rows before the shuffle.
+    Beyond that the rows are range-partitioned: places are given inside each range, and a range
+    starts where the ones before it end, so that no group is sorted in one task.
+    """
+    if limit <= window_rows:
+        return df.withColumn(name, F.row_number().over(W.partitionBy(*by).orderBy(*order))).filter(F.col(name) <= limit)
+    ranges = cut_lineage(df.repartitionByRange(*by, *order).withColumn("_range", F.spark_partition_id()))
+    before = W.partitionBy(*by).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    starts = (
+        ranges.groupBy(*by, "_range").agg(F.count("*").alias("_size")).withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    ).drop("_size")
+    inside = F.row_number().over(W.partitionBy(*by, "_range").orderBy(*order))
+    placed = ranges.join(starts, [*by, "_range"]).withColumn(name, (F.col("_start") + inside).cast("int"))
+    return placed.filter(F.col(name) <= limit).drop("_range", "_start")
+
+
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Keys with more than ``hot_rows`` rows, and with more than 1 / HOT_KEYS of all rows, so that
-    there are never more than HOT_KEYS of them: they may be broadcast."""
+    there are never more than HOT_KEYS of them: they may be broadcast. None if there is no such key."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    return counts.filter(F.col("n") > max(hot_rows, df.count() // HOT_KEYS)).select(*keys)
+    size = counts.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    least = max(hot_rows, (size["rows"] or 0) // HOT_KEYS)
+    if (size["most"] or 0) <= least:
+        return None
+    return cut_lineage(counts.filter(F.col("n") > least).select(*keys))
 
 
 def join_in_slices(
