@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from basketlens.functions.columns import stable
-from basketlens.operators.skew import HOT_ROWS, hot_keys, join_in_slices
+from basketlens.operators.skew import HOT_ROWS, hot_keys, join_in_slices, numbered_in_order
 from basketlens.session import cut_lineage
 
 GROUP = ["g_fold", "g_pattern", "g_size"]
@@ -260,8 +260,7 @@ def _cut_ties(found: Nearest, k: int) -> DataFrame:
     singles = found.singles.filter(edge).select("basket_id", "order_id", "sim", "better")
     groups = found.groups.filter(edge).select("basket_id", *GROUP, "sim", "better")
     most_known = found.known.groupBy("basket_id", *GROUP).count().agg(F.max("count")).first()[0] or 0
-    in_group = W.partitionBy(*GROUP).orderBy("order_id")
-    first = found.members.withColumn("place", F.row_number().over(in_group)).filter(F.col("place") <= k + most_known)
+    first = numbered_in_order(found.members, GROUP, [F.asc("order_id")], k + most_known, "place")
     listed = (
         groups.join(first, GROUP)
         .join(found.known.select("basket_id", "order_id"), ["basket_id", "order_id"], "left_anti")
