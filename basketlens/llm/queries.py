@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketlens.llm import near_dedup
+from basketlens.llm import decontaminate, exact_dedup, near_dedup, sharding, warc
+from basketlens.llm.columns import shared_folder
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,11 +18,37 @@ def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(_read(spark, folder, "documents"))
 
 
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = shared_folder(spark, "warc")
+    warc.write_archives(_read(spark, folder, "pages"), path)
+    return warc.read_archives(spark, path)
+
+
+def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard_by_bytes(_read(spark, folder, "documents"), 8)
+
+
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+
+
+def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(_read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in [
         op1_minhash_near_dedup,
+        op2_warc,
+        op3_sharding,
+        op7_decontaminate,
+        op9_exact_dedup,
     ]
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_warc": warc.SQL,
+    "op7_decontaminate": decontaminate.SQL,
+    "op9_exact_dedup": exact_dedup.SQL,
+}
