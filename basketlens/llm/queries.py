@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from basketlens.llm import decontaminate, exact_dedup, near_dedup, sharding, warc
+from basketlens.llm import decontaminate, exact_dedup, language_id, near_dedup, packing, sharding, warc
 from basketlens.llm.columns import shared_folder
 
 
@@ -14,6 +16,11 @@ def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _remainder(key: str, parts: int):
+    """crc32 of the key as text, modulo parts."""
+    return F.crc32(F.col(key).cast("string").cast("binary")) % parts
+
+
 def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(_read(spark, folder, "documents"))
 
@@ -32,10 +39,26 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
 
 
+def pack_documents(docs: DataFrame) -> DataFrame:
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(_read(spark, folder, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_read(spark, folder, "documents"))
 
 
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    held_out = F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False))
+    model = language_id.learn(docs.where(~held_out))
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in [
@@ -43,7 +66,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_warc,
         op3_sharding,
         op7_decontaminate,
+        op8_packing,
         op9_exact_dedup,
+        op10_language_id,
     ]
 }
 
