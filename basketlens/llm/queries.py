@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import decontaminate, exact_dedup, language_id, near_dedup, packing, sharding, warc
+from basketlens.llm import decontaminate, exact_dedup, html_text, language_id, near_dedup, packing, sharding, toxicity, warc
 from basketlens.llm.columns import shared_folder
 
 
@@ -35,6 +35,17 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(_read(spark, folder, "documents"), 8)
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    held_out = F.coalesce(_remainder("doc_id", 5) == 0, F.lit(False))
+    model = toxicity.learn(docs.where(~held_out), _read(spark, folder, "labels"))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op6_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(_read(spark, folder, "pages"))
+
+
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
 
@@ -65,6 +76,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_minhash_near_dedup,
         op2_warc,
         op3_sharding,
+        op5_toxicity,
+        op6_html_text,
         op7_decontaminate,
         op8_packing,
         op9_exact_dedup,
