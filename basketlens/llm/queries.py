@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import decontaminate, exact_dedup, html_text, language_id, near_dedup, packing, sharding, toxicity, warc
+from basketlens.llm import decontaminate, exact_dedup, html_text, language_id, near_dedup, packing, sharding, suffix_dedup, toxicity, warc
 from basketlens.llm.columns import shared_folder
 
 
@@ -35,6 +35,10 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard_by_bytes(_read(spark, folder, "documents"), 8)
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_read(spark, folder, "documents")).drop("kept")
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents")
     held_out = F.coalesce(_remainder("doc_id", 5) == 0, F.lit(False))
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_minhash_near_dedup,
         op2_warc,
         op3_sharding,
+        op4_suffix_dedup,
         op5_toxicity,
         op6_html_text,
         op7_decontaminate,
