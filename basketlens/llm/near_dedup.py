@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from basketlens.llm.bytes import SpanHasher, binary_column, blocks, byte_class, constants, mix, word_spans
 from basketlens.llm.components import components
-from basketlens.session import cut_lineage
+from basketlens.llm.tables import keep
 
 #: Fixed by the definition of a word: neither a blank nor the control characters 9 to 13.
 IS_WORD = ~byte_class((0x20, 0x20), (0x09, 0x0D))
@@ -195,31 +195,31 @@ def near_duplicates(
     component and is kept. Extra columns are ignored. ``bands * rows`` must be a power of two.
     """
     rows_in = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("binary").alias("text"))
-    sketched = cut_lineage(sketch(rows_in, words, bands, rows))
+    sketched = keep(sketch(rows_in, words, bands, rows))
     known = sketched.where("n > 0 AND id IS NOT NULL")
-    groups = cut_lineage(known.groupBy("n", "mark1", "mark2").agg(F.min("id").alias("head"), F.first("keys").alias("keys")))
+    groups = keep(known.groupBy("n", "mark1", "mark2").agg(F.min("id").alias("head"), F.first("keys").alias("keys")))
 
     entries = groups.select(F.explode("keys").alias("bucket"), F.col("head").alias("id"), "n").distinct()
     shared = entries.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("bucket")
-    members = cut_lineage(entries.join(shared, "bucket"))
+    members = keep(entries.join(shared, "bucket"))
     heads = members.select("id").distinct()
-    sets = cut_lineage(
+    sets = keep(
         shingle_sets(rows_in.join(heads, "id", "left_semi"), words)
         .groupBy("id").agg(F.first("shingles").alias("shingles"))
     )
-    labels = cut_lineage(heads.withColumn("component", F.col("id")))
+    labels = keep(heads.withColumn("component", F.col("id")))
     slices, waiting = 1, members.join(labels, "id")
     while True:
-        waiting = cut_lineage(_unsettled(waiting))
+        waiting = keep(_unsettled(waiting))
         if waiting.isEmpty():
             break
         pairs, centres = _candidates(waiting, slices, least)
-        links = cut_lineage(confirm(pairs, sets, least))
+        links = keep(confirm(pairs, sets, least))
         named = links
         for end in ("a", "b"):
             named = named.join(labels.select(F.col("id").alias(end), F.col("component").alias(f"{end}_in")), end)
         joined = components(named.select(F.col("a_in").alias("a"), F.col("b_in").alias("b")))
-        labels = cut_lineage(
+        labels = keep(
             labels.join(joined, labels["component"] == joined["node"], "left").select("id", F.coalesce(joined["component"], labels["component"]).alias("component"))
         )
         waiting = waiting.join(centres, ["bucket", "id"], "left_anti").drop("component").join(labels, "id")
@@ -228,7 +228,7 @@ def near_duplicates(
     # keys that stand for several texts connect the groups that they are in
     inside = known.select("n", "mark1", "mark2", "id").join(groups.drop("keys"), ["n", "mark1", "mark2"])
     inside = inside.join(labels.withColumnRenamed("id", "head"), "head", "left").select("id", F.coalesce("component", "head").alias("component"))
-    inside = cut_lineage(inside.distinct())
+    inside = keep(inside.distinct())
     doubled = inside.groupBy("id").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
     if not doubled.isEmpty():
         several = inside.groupBy("id").agg(F.min("component").alias("a"))
