@@ -123,6 +123,41 @@ def classes(patterns: list[bytes]) -> list[PatternClass]:
     return [PatternClass([patterns[i] for i in own], own) for own in groups.values()]
 
 
+class Searcher:
+    """Finds the windows of some items in blocks of texts."""
+
+    def __init__(self, items: list[tuple[str, bytes]], window: int) -> None:
+        owners: dict[bytes, set[str]] = {}
+        for name, text in items:
+            for pattern in item_windows(text, window):
+                owners.setdefault(pattern, set()).add(name)
+        self.patterns = sorted(owners)
+        self.owned = [sorted(owners[p]) for p in self.patterns]
+        self.lengths = np.array([p.count(b" ") - 1 for p in self.patterns], np.int64)
+        self.tables: list[PatternClass] | None = None
+
+    def find(self, buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Number of words of each document; document, word and pattern of each occurrence, by document."""
+        if self.tables is None:  # built in the task, not sent to it
+            self.tables = classes(self.patterns)
+        data = buf.tobytes()
+        forms = [normal_form(data[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+        raw = b"\n".join(forms)  # a line end is in no pattern
+        text = np.frombuffer(raw, np.uint8)
+        sizes = np.array([len(form) for form in forms])
+        starts = np.cumsum(sizes + 1) - sizes - 1
+        blanks = np.concatenate([[0], np.cumsum(text == 0x20)])
+        counts = blanks[starts + sizes] - blanks[starts] - 1
+        at, which = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for table in self.tables:
+            one, two = table.search(text, raw)
+            at, which = np.concatenate([at, one]), np.concatenate([which, two])
+        doc = np.searchsorted(starts, at, "right") - 1
+        order = np.argsort(doc, kind="stable")
+        doc, at, which = doc[order], at[order], which[order]
+        return counts, doc, blanks[at] - blanks[starts[doc]], which
+
+
 HITS = "row bigint, n_words bigint, froms array<bigint>, tos array<bigint>, items array<string>"
 
 
@@ -131,41 +166,19 @@ def search_block(docs: DataFrame, items: list[tuple[str, bytes]], window: int) -
 
     ``docs`` has ``row`` and ``text``, and may have ``mark``, which is handed through.
     """
-    owners: dict[bytes, set[str]] = {}
-    for name, text in items:
-        for pattern in item_windows(text, window):
-            owners.setdefault(pattern, set()).add(name)
-    patterns = sorted(owners)
-    owned = [sorted(owners[p]) for p in patterns]
-    lengths = np.array([p.count(b" ") - 1 for p in patterns], np.int64)
+    searcher = Searcher(items, window)
     marked = "mark" in docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = classes(patterns)
         for batch in batches:
             for low, high, buf, offsets in blocks(binary_column(batch, "text"), SEARCH_BYTES):
-                data = buf.tobytes()
-                forms = [normal_form(data[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-                raw = b"\n".join(forms)  # a line end is in no pattern
-                text = np.frombuffer(raw, np.uint8)
-                sizes = np.array([len(form) for form in forms])
-                starts = np.cumsum(sizes + 1) - sizes - 1
-                blanks = np.concatenate([[0], np.cumsum(text == 0x20)])
-                counts = blanks[starts + sizes] - blanks[starts] - 1
-                at, which = np.zeros(0, np.int64), np.zeros(0, np.int64)
-                for table in tables:
-                    one, two = table.search(text, raw)
-                    at, which = np.concatenate([at, one]), np.concatenate([which, two])
-                doc = np.searchsorted(starts, at, "right") - 1
-                word = blanks[at] - blanks[starts[doc]]
-                order = np.argsort(doc, kind="stable")
-                word, which = word[order], which[order]
-                cuts = np.searchsorted(doc[order], np.arange(len(forms) + 1)).tolist()
+                counts, doc, word, which = searcher.find(buf, offsets)
+                cuts = np.searchsorted(doc, np.arange(high - low + 1)).tolist()
                 froms, tos, found = [], [], []
                 for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                     froms.append(word[a:b])
-                    tos.append(word[a:b] + lengths[which[a:b]])
-                    found.append(sorted({name for w in set(which[a:b].tolist()) for name in owned[w]}))
+                    tos.append(word[a:b] + searcher.lengths[which[a:b]])
+                    found.append(sorted({name for w in set(which[a:b].tolist()) for name in searcher.owned[w]}))
                 columns = [batch.column(0).slice(low, high - low), pa.array(counts, pa.int64()), pa.array(froms, pa.list_(pa.int64())),
                            pa.array(tos, pa.list_(pa.int64())), pa.array(found, pa.list_(pa.string()))]
                 names = ["row", "n_words", "froms", "tos", "items"]
@@ -245,10 +258,27 @@ def contamination(
     return _report(hits).withColumnRenamed("row", key).withColumn("contaminated", F.col("n_hit") > 0)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text",
+    window: int = 10, block_bytes: int = BENCHMARK_BLOCK_BYTES,
+) -> DataFrame:
     """The rows of ``docs`` in which no benchmark window occurs, with all their columns."""
-    hit = contamination(docs, benchmark, key, text, **options).where("contaminated").select(F.col(key).alias("_key")).distinct()
-    return docs.join(hit, docs[key].eqNullSafe(hit["_key"]), "left_anti")
+    place = docs.columns.index(text)
+    for block in item_blocks(benchmark, item_key, item_text, block_bytes):
+        docs = docs.mapInArrow(_clean_rows(Searcher(block, window), place), docs.schema)
+    return docs
+
+
+def _clean_rows(searcher: Searcher, place: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            clean = np.ones(len(batch), bool)
+            column = pa.RecordBatch.from_arrays([batch.column(place)], ["text"])
+            for low, _, buf, offsets in blocks(binary_column(column, "text"), SEARCH_BYTES):
+                clean[low + searcher.find(buf, offsets)[1]] = False
+            yield batch.filter(pa.array(clean))
+
+    return run
 
 
 SQL = r"""

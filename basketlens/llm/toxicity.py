@@ -244,30 +244,44 @@ def _labelled_units(sample: DataFrame) -> DataFrame:
     return sample.select("toxic", "text").mapInArrow(run, "unit string, context bigint, toxic bigint").distinct()
 
 
+class Scorer:
+    """Margins of texts in one task; remembers the values of units it has seen, up to a bound."""
+
+    def __init__(self, model: Model) -> None:
+        self.model, self.hasher, self.table = model, SpanHasher(61), {}
+        self.known, self.known_value = np.zeros(0, np.uint64), np.zeros(0)
+
+    def values(self, units: Units) -> np.ndarray:
+        found, at, back = np.unique(units.hashes, return_index=True, return_inverse=True)
+        place = np.minimum(np.searchsorted(self.known, found), max(len(self.known) - 1, 0))
+        seen = self.known[place] == found if len(self.known) else np.zeros(len(found), bool)
+        value = np.zeros(len(found))
+        if len(self.known):
+            value[seen] = self.known_value[place[seen]]
+        value[~seen] = units.values(at[~seen], self.model.weights, self.table) + self.model.bias
+        if len(self.known) + len(found) > REMEMBERED:
+            self.known, self.known_value = found, value
+        else:
+            merged, first = np.unique(np.concatenate([self.known, found]), return_index=True)
+            self.known, self.known_value = merged, np.concatenate([self.known_value, value])[first]
+        return value[back]
+
+    def margins(self, texts: pa.Array) -> np.ndarray:
+        """Of every text, the margin of its most toxic unit."""
+        out = np.full(len(texts), FLOOR)
+        for low, _, buf, offsets in blocks(texts, BLOCK):
+            units = Units(self.hasher, buf, offsets)
+            np.maximum.at(out, units.doc + low, self.values(units))
+        return out
+
+
 def margins(docs: DataFrame, model: Model) -> DataFrame:
-    """``margin`` of every row of (id, text): that of its most toxic unit."""
+    """``margin`` of every row of (id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, table = SpanHasher(61), {}
-        known, known_value = np.zeros(0, np.uint64), np.zeros(0)
+        scorer = Scorer(model)
         for batch in batches:
-            for low, high, buf, offsets in blocks(binary_column(batch, "text"), BLOCK):
-                units = Units(hasher, buf, offsets)
-                found, at, back = np.unique(units.hashes, return_index=True, return_inverse=True)
-                place = np.minimum(np.searchsorted(known, found), max(len(known) - 1, 0))
-                seen = known[place] == found if len(known) else np.zeros(len(found), bool)
-                value = np.zeros(len(found))
-                if len(known):
-                    value[seen] = known_value[place[seen]]
-                value[~seen] = units.values(at[~seen], model.weights, table) + model.bias
-                if len(known) + len(found) > REMEMBERED:
-                    known, known_value = found, value
-                else:
-                    merged, first = np.unique(np.concatenate([known, found]), return_index=True)
-                    known, known_value = merged, np.concatenate([known_value, value])[first]
-                best = np.full(high - low, FLOOR)
-                np.maximum.at(best, units.doc, value[back])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), pa.array(best)], ["id", "margin"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scorer.margins(binary_column(batch, "text")))], ["id", "margin"])
 
     return docs.mapInArrow(run, T.StructType([T.StructField("id", docs.schema["id"].dataType), T.StructField("margin", T.DoubleType())]))
 
@@ -354,3 +368,16 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     line = F.lit(model.slope) * F.greatest(F.least(F.col("margin"), F.lit(-FLOOR)), F.lit(FLOOR)) + F.lit(model.offset)
     scored = margins(rows, model).select(F.col("id").alias(key), (1 / (1 + F.exp(-line))).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def drop_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not predicted to be toxic, with all their columns."""
+    place = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            column = pa.RecordBatch.from_arrays([batch.column(place)], ["text"])
+            yield batch.filter(pa.array(model.probability(scorer.margins(binary_column(column, "text"))) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
