@@ -2,10 +2,11 @@
 
 Markup is stripped first: scripts, styles and comments go, block tags end a line, inline tags vanish, and
 elements that are never article text (menus, forms, adverts and the like, by tag or by a word of their
-class, id or role) leave empty lines. Of every line its text length without link text is taken, and the
+class, id or role) leave an empty line. Of every line its text length without link text is taken, and the
 lengths of ``WIDTH`` lines at a time are summed. Text surges where a sum rises over ``SURGE``; it dives where
 the sum falls to nothing. The lines between such points are the main text. Where no block of a page is that
-dense, the stretch with most text is taken. If the page marks an article, only lines in it carry weight.
+dense, the stretch with most text is taken. If the page marks an article, only lines in it carry weight, links
+count as well, and all its stretches are kept.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 WORD = re.compile(r"[a-z]+")
-#: Line ends of its own that separate an article or a removed element from what stands beside it.
+#: Empty lines that separate an article from what stands beside it.
 GAP = WIDTH + 1
 
 
@@ -109,7 +110,7 @@ def page_lines(page: str) -> Lines:
         elif tag == "br":
             lines.parts.append(" ")
         elif not closing and not empty and is_around(tag, attributes, articles):
-            lines.end(bool(articles), GAP)
+            lines.end(bool(articles), 1)
             skipped.append(tag)
         elif tag in ARTICLE:
             lines.end(bool(articles), GAP)
@@ -126,12 +127,8 @@ def page_lines(page: str) -> Lines:
 def main_text(page: str) -> str:
     """The main text of one page, blocks joined by line ends."""
     lines = page_lines(page)
-    weights = lines.weights
-    if any(w for w, inside in zip(weights, lines.inside, strict=True) if inside):
-        weights = [w if inside else 0 for w, inside in zip(weights, lines.inside, strict=True)]
-        usable = lines.inside
-    else:
-        usable = [True] * len(weights)
+    marked = any(text for text, inside in zip(lines.texts, lines.inside, strict=True) if inside)
+    weights = [len(t) if inside else 0 for t, inside in zip(lines.texts, lines.inside, strict=True)] if marked else lines.weights
     sums, total = [], sum(weights[: WIDTH - 1])
     for i in range(len(weights)):  # text of the lines i to i + WIDTH - 1
         total += weights[i + WIDTH - 1] if i + WIDTH - 1 < len(weights) else 0
@@ -144,10 +141,10 @@ def main_text(page: str) -> str:
         elif not value and start is not None:
             stretches.append((start, i, max(sums[start:i])))  # the dive
             start = None
-    chosen = [s for s in stretches if s[2] >= SURGE]
+    chosen = stretches if marked else [s for s in stretches if s[2] >= SURGE]
     if not chosen and stretches:
         chosen = [max(stretches, key=lambda s: (sum(weights[s[0] : s[1]]), -s[0]))]
-    return "\n".join(lines.texts[i] for low, high, _ in chosen for i in range(low, high) if lines.texts[i] and usable[i])
+    return "\n".join(lines.texts[i] for low, high, _ in chosen for i in range(low, high) if lines.texts[i] and (lines.inside[i] or not marked))
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html_column: str = "html") -> DataFrame:

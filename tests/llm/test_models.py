@@ -1,0 +1,139 @@
+"""Toxicity, languages and page text: held-out accuracy, definitions, edge cases."""
+
+from itertools import combinations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from basketlens.llm import html_text, language_id, toxicity
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    return spark.read.parquet(f"{FOLDER}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def machine(spark, corpus):
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return toxicity.learn(corpus.where(~held), spark.read.parquet(f"{FOLDER}/labels.parquet"))
+
+
+def kernel(one: str, two: str) -> float:
+    """The gap-weighted kernel by its definition."""
+
+    def weights(word: str) -> dict:
+        codes = [0, *(int(toxicity.CODE[b]) for b in word.encode()), 0]
+        out: dict = {}
+        for i, j, k in combinations(range(len(codes)), 3):
+            if k - i < toxicity.MOST_SPAN:
+                key = (codes[i], codes[j], codes[k])
+                out[key] = out.get(key, 0.0) + toxicity.DECAY ** (k - i + 1)
+        return out
+
+    a, b = weights(one), weights(two)
+    dot = lambda x, y: sum(v * y.get(k, 0.0) for k, v in x.items())
+    return dot(a, b) / (dot(a, a) * dot(b, b)) ** 0.5
+
+
+def test_kernel_is_the_gap_weighted_one():
+    words = ["idiot", "id*iot", "banana", "é", "mississippi"]
+    rows, number, share = toxicity.unit_vectors(words)
+    dense = np.zeros((len(words), toxicity.ALPHABET**3))
+    dense[rows, number] = share
+    found = dense @ dense.T
+    assert np.allclose(found, [[kernel(a, b) for b in words] for a in words], atol=1e-5)
+    assert found[0, 1] > found[0, 2]
+
+
+def test_toxicity_on_held_out_documents(spark, corpus, machine):
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    found = toxicity.score(corpus.where(held), machine).join(spark.read.parquet(f"{FOLDER}/labels.parquet"), "doc_id").toPandas()
+    assert (found["predicted"] == found["toxic"]).mean() > 0.93
+    assert found.loc[found["toxic"] == 1, "score"].median() > 0.5 > found.loc[found["toxic"] == 0, "score"].median()
+
+
+def test_intruded_insults_score_higher_than_other_words(spark, machine):
+    rows = [(1, "the idiot came"), (2, "the id*iot came"), (3, "the i d i o t came"), (4, "the table came"), (5, "the IDIOT came")]
+    score = {r["doc_id"]: r["score"] for r in toxicity.score(spark.createDataFrame(rows, "doc_id bigint, text string"), machine).collect()}
+    assert min(score[k] for k in (1, 2, 3, 5)) > score[4]
+
+
+def test_toxicity_edges(spark, docs, cluttered, none, odd, machine, texts):
+    found = {r["doc_id"]: r for r in toxicity.score(docs, machine).collect()}
+    assert len(found) == len(texts)
+    assert found[1]["score"] == found[2]["score"] == found[3]["score"] == found[9]["score"] and found[1]["predicted"] == 0
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in found.values())
+    assert {r["doc_id"]: r["score"] for r in toxicity.score(cluttered, machine).collect()} == {k: r["score"] for k, r in found.items()}
+    assert toxicity.score(none, machine).count() == 0
+    assert toxicity.score(odd, machine).count() == odd.count()
+    assert toxicity.drop_toxic(cluttered, machine).columns == cluttered.columns
+    labels = spark.createDataFrame([(1, 1, 0), (2, None, 0), (None, 1, 0), (4, 0, 0), (6, 0, 1)], "doc_id bigint, toxic int, quality int")
+    for some in (labels, labels.where("toxic = 0"), labels.where("toxic = 1"), labels.where("false")):
+        assert toxicity.score(docs, toxicity.learn(cluttered, some)).count() == len(texts)
+
+
+def test_languages_of_held_out_documents(corpus):
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = language_id.learn(corpus.where(~held))
+    found = language_id.identify(corpus.where(held), model).join(corpus.select("doc_id", "lang"), "doc_id").toPandas()
+    assert (found["lang_pred"] == found["lang"]).mean() > 0.98
+
+
+def test_language_edges(spark, docs, cluttered, none, odd, texts):
+    taught = [(1, "der hund und die katze", "de"), (2, "the dog and the cat", "en"), (3, None, "xx"), (4, "le chien", None), (None, "der und die", "de")]
+    model = language_id.learn(spark.createDataFrame(taught, "doc_id bigint, text string, lang string"))
+    assert model.languages == ["de", "en"]
+    found = {r["doc_id"]: r for r in language_id.identify(docs, model).collect()}
+    assert {k for k, r in found.items() if r["lang_pred"] == "und"} == {1, 2, 3, 9}
+    assert all(0 <= r["score"] <= 1 for r in found.values())
+    asked = spark.createDataFrame([(1, "die katze"), (2, "AND THE DOG"), (3, "12 + 3")], "doc_id bigint, text string")
+    assert [r["lang_pred"] for r in language_id.identify(asked, model).orderBy("doc_id").collect()] == ["de", "en", "und"]
+    assert language_id.identify(cluttered, model).count() == len(texts)
+    assert language_id.identify(none, model).count() == 0
+    assert language_id.identify(odd, model).count() == odd.count()
+    nothing = language_id.learn(spark.createDataFrame([], "doc_id bigint, text string, lang string"))
+    assert {r["lang_pred"] for r in language_id.identify(docs, nothing).collect()} == {"und"}
+
+
+def test_more_than_64_languages():
+    rng = np.random.default_rng(2)
+    held = {f"l{i:03d}": rng.integers(0, 2**32, 50, dtype=np.uint64) for i in range(130)}
+    model = language_id.Filter(sorted(held), held)
+    for name, grams in held.items():
+        share = model.shares(grams, np.array([0, len(grams)]))[0]
+        assert model.languages[int(share.argmax())] == name and share.max() == 1
+
+
+ARTICLE = "Some <b>words</b> of a paragraph that is long enough to make the line blocks surge, &eacute;t cetera, and so on."
+PLAIN = "Some words of a paragraph that is long enough to make the line blocks surge, ét cetera, and so on."
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("", ""),
+        ("plain", "plain"),
+        ("<p>a<p>b &amp; c<br>d", "a\nb & c d"),
+        (f"<nav><a href=x>Home</a></nav><article><h1>T</h1><p>{ARTICLE}</p><p>x\n y</p></article><footer>f</footer>", f"T\n{PLAIN}\nx y"),
+        (f"<body><div class='cookie-notice'>{'please accept ' * 20}</div><p>{ARTICLE}</p><div id=comments><p>{'nice! ' * 50}</p></div>", PLAIN),
+        (f"<ul><li><a href=1>{'one ' * 30}</a></ul><hr><hr><hr><p>{ARTICLE}</p><form>{'field ' * 30}</form>", PLAIN),
+        (f"<script>var t='</p><p>{'x ' * 90}';</script><style>p{{}}</style><!-- <p>no</p> --><p>{ARTICLE}</p><p unclosed='", PLAIN),
+        (f"<article><p>{ARTICLE}<aside>{'side ' * 40}</aside></p><p>last", f"{PLAIN}\nlast"),
+        ("<script>never ended <p>text", ""),
+        ("<nav><nav>x</nav>y</nav>z", "z"),
+    ],
+)
+def test_main_text(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_page_text_edges(spark):
+    rows = [(1, "u", None, "x"), (1, "u", None, "x"), (None, None, "<p>a", "y"), (2, "v", "<p>" + "long text " * 200_000, "z")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
+    found = html_text.extract(pages).collect()
+    assert sorted((r["page_id"] or 0, r["n_chars"]) for r in found) == [(0, 1), (1, 0), (1, 0), (2, 1_999_999)]
+    assert html_text.extract(pages.where("false")).count() == 0
