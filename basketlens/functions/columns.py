@@ -29,10 +29,18 @@ def is_adjustment(description: Column) -> Column:
 
 
 def is_rated(value: Column) -> Column:
-    """Presence mask as a number: 1 for a value, 0 for none."""
+    """Presence mask as a number: 1 for a value, 0 for none. A value of 0 stands for a missing one."""
     return F.when(value.isNotNull() & (value != 0), 1.0).otherwise(0.0)
 
 
+def plain_number(text: Column) -> Column:
+    """A text as double where it is a plain decimal number, with or without an exponent; else missing.
+
+    The cast alone would also take a trailing D or F.
+    """
+    return F.when(text.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"), text.try_cast("double"))
+
+
 def nonzero(value: Column) -> Column:
     return F.when(value == 0, F.lit(TINY)).otherwise(value)
 

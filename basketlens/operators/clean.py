@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.functions.columns import is_adjustment, is_cancellation, is_non_product
+from basketlens.functions.columns import is_adjustment, is_cancellation, is_non_product, plain_number
 
 
 def cancellations(raw: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def typed_lines(df: DataFrame) -> DataFrame:
     """Numeric invoice number (missing where it is no number), date, time of day."""
     return df.withColumns(
         {
-            "InvoiceNo": F.col("InvoiceNo").try_cast("double"),
+            "InvoiceNo": plain_number(F.col("InvoiceNo")),
             "Date": F.to_date("InvoiceDate"),
             "Time": F.date_format("InvoiceDate", "HH:mm:ss"),
         }

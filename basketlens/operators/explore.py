@@ -29,10 +29,10 @@ def best_sellers(df: DataFrame, n: int = 10) -> DataFrame:
 def item_shares(df: DataFrame, n: int = 10) -> DataFrame:
     """The n best sellers with their share of all lines, in percent."""
     counts = item_counts(df)
-    # the total comes from the lines themselves, so it is one number however many items exist
-    total = df.agg(F.count("*")).scalar()
-    share = (F.col("count") / total) * 100
-    return top_with_ties(counts, "count", n).withColumn("pct", share).orderBy(F.desc("pct"), "Description")
+    total = counts.agg(F.sum("count").alias("total"))  # one row
+    share = (F.col("count") / F.col("total")) * 100
+    top = top_with_ties(counts, "count", n).crossJoin(F.broadcast(total))
+    return top.withColumn("pct", share).drop("total").orderBy(F.desc("pct"), "Description")
 
 
 def lines_by_hour(df: DataFrame) -> DataFrame:
@@ -61,10 +61,8 @@ def avg_line_value(df: DataFrame) -> DataFrame:
 def histogram(df: DataFrame, value: str, bins: int, view: tuple[float, float] = (0.0, 100.0)) -> DataFrame:
     """Equal-width bins over the whole range, then those that touch the viewed part."""
     values = df.select(F.col(value).alias("x")).filter("x is not null")
-    ends = values.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
-    placed = values.select("x", ends.alias("e")).select(
-        "x", F.col("e.lo").alias("lo"), ((F.col("e.hi") - F.col("e.lo")) / bins).alias("width")
-    )
+    ends = values.agg(F.min("x").alias("lo"), ((F.max("x") - F.min("x")) / bins).alias("width"))  # one row
+    placed = values.crossJoin(F.broadcast(ends))
     number = F.when(F.col("width") == 0, bins - 1).otherwise(
         F.least(F.floor((F.col("x") - F.col("lo")) / F.col("width")), F.lit(bins - 1))
     )

@@ -114,9 +114,10 @@ def nearest_orders(
     """
     if "fold" not in past.columns:
         new, past = new.withColumn("fold", F.lit(1)), past.withColumn("fold", F.lit(0))
+    # read several times below: the narrow tables are written once
+    past = cut_lineage(_sized(past, "order_id"))
+    new = past.withColumnRenamed("order_id", "basket_id") if same_orders else cut_lineage(_sized(new, "basket_id"))
     new_items, past_items = new.select("item"), past.select("item")
-    past = _sized(past, "order_id")
-    new = past.withColumnRenamed("order_id", "basket_id") if same_orders else _sized(new, "basket_id")
     hot = hot_keys(past_items, ["item"], hot_rows)
     if hot is None:
         pairs = _pairs(new, past, same_orders, new_items, past_items)

@@ -110,15 +110,26 @@ def exact_percentiles(df: DataFrame, columns: list[str], shares: list[float]) ->
 
 
 def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, nulls and, for numbers, mean, spread and quartiles; one row per column."""
+    """Type, count, nulls, distinct values; for numbers mean, spread and quartiles, for texts the shortest and
+    longest length, for dates the earliest and latest. One row per column."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
     numeric = [f.name for f in df.schema.fields if f.name in columns and isinstance(f.dataType, T.NumericType)]
 
     def base(c: str) -> DataFrame:
         value = F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")
+        length = F.char_length(c) if isinstance(kinds[c], T.StringType) else F.lit(None).cast("int")
+        dated = isinstance(kinds[c], T.TimestampType | T.TimestampNTZType | T.DateType)
+        day = F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss") if dated else F.lit(None).cast("string")
         return F.struct(
             F.lit(c).alias("column"),
+            F.lit(kinds[c].simpleString()).alias("type"),
             F.count("*").alias("n"),
             F.count_if(F.col(c).isNull()).alias("n_null"),
+            F.count_distinct(F.col(c)).alias("n_distinct"),
+            F.min(length).cast("double").alias("shortest"),
+            F.max(length).cast("double").alias("longest"),
+            F.min(day).alias("earliest"),
+            F.max(day).alias("latest"),
             F.avg(value).alias("mean"),
             F.stddev_samp(value).alias("sd"),
             F.min(value).alias("min"),

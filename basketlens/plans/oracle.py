@@ -82,8 +82,11 @@ SELECT StockCode, Description, count(*) AS count FROM sold WHERE {_CODES} GROUP
 SQL["product_line_count"] = _with(RAW, KEPT, SOLD, PRODUCTS) + "SELECT count(*) AS n_rows FROM products"
 
 SQL["first_lines"] = _with(RAW) + """
-SELECT * EXCLUDE (InvoiceDate) FROM raw ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice LIMIT 6"""
-_PROFILED = ["InvoiceNo", "StockCode", "Description", "Quantity", "UnitPrice", "CustomerID", "Country"]
+SELECT * REPLACE (strftime(InvoiceDate, '%Y-%m-%d %H:%M:%S') AS InvoiceDate) FROM raw ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice LIMIT 6"""
+_PROFILED = {
+    "InvoiceNo": "string", "StockCode": "string", "Description": "string", "Quantity": "int", "InvoiceDate": "timestamp_ntz",
+    "UnitPrice": "double", "CustomerID": "string", "Country": "string",
+}
 SQL["null_profile"] = _with(RAW) + " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM raw" for c in _PROFILED
 )
@@ -94,12 +97,19 @@ SQL["distinct_with_null"] = _with(RAW) + " UNION ALL ".join(
 
 
 def _profile_row(c: str) -> str:
-    numeric = c in ("Quantity", "UnitPrice")
+    kind = _PROFILED[c]
+    numeric = kind in ("int", "double")
     stats = {"mean": "avg(v)", "sd": "stddev_samp(v)", "min": "min(v)", "max": "max(v)"}
     stats |= {f"p{int(s * 100)}": f"quantile_cont(v, {s})" for s in (0.25, 0.5, 0.75)}
     columns = ", ".join(f"round({e}, 4) AS {n}" for n, e in stats.items())
     value = f"CAST({c} AS DOUBLE)" if numeric else "CAST(NULL AS DOUBLE)"
-    return f"SELECT '{c}' AS \"column\", count(*) AS n, count(*) FILTER (WHERE x IS NULL) AS n_null, {columns} FROM (SELECT {c} AS x, {value} AS v FROM raw)"
+    length = "length(x)" if kind == "string" else "NULL"
+    day = "strftime(x, '%Y-%m-%d %H:%M:%S')" if kind == "timestamp_ntz" else "CAST(NULL AS VARCHAR)"
+    columns = (
+        f"count(DISTINCT x) AS n_distinct, CAST(min({length}) AS DOUBLE) AS shortest, CAST(max({length}) AS DOUBLE) AS longest, "
+        f"min({day}) AS earliest, max({day}) AS latest, {columns}"
+    )
+    return f"SELECT '{c}' AS \"column\", '{kind}' AS type, count(*) AS n, count(*) FILTER (WHERE x IS NULL) AS n_null, {columns} FROM (SELECT {c} AS x, {value} AS v FROM raw)"
 
 
 SQL["column_profile"] = _with(RAW) + " UNION ALL ".join(_profile_row(c) for c in _PROFILED)
@@ -170,6 +180,31 @@ SQL["basket_recommend_unseen"] = _with(PART_BASKETS, RECOMMENDED) + """
 SELECT basket_id, item AS Recommendations, round(support_sim, 6) AS support_sim FROM scored s
 WHERE score > 0 AND NOT EXISTS (SELECT 1 FROM baskets b WHERE b.order_id = s.basket_id AND b.item = s.item)"""
 
+NEW_AND_PAST = """
+dated AS (
+  SELECT DISTINCT l_orderkey AS order_id, 'part ' || CAST(l_partkey AS VARCHAR) AS item, year(o_orderdate) AS y
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+latest AS (SELECT year(max(o_orderdate)) AS y FROM orders),
+past AS (SELECT order_id, item FROM dated WHERE y < (SELECT y FROM latest)),
+new AS (
+  SELECT order_id AS basket_id, item FROM dated
+  WHERE y = (SELECT y FROM latest) AND item IN (SELECT item FROM past)),
+new_sizes AS (SELECT basket_id, count(*) AS size FROM new GROUP BY 1),
+past_sizes AS (SELECT order_id, count(*) AS size FROM past GROUP BY 1),
+sims AS (
+  SELECT basket_id, order_id, count(*) / sqrt(CAST(any_value(n.size) * any_value(p.size) AS DOUBLE)) AS sim
+  FROM new JOIN past USING (item) JOIN new_sizes n USING (basket_id) JOIN past_sizes p USING (order_id) GROUP BY 1, 2),
+near AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY basket_id ORDER BY sim DESC) AS place FROM sims) WHERE place <= 3),
+scored AS (
+  SELECT basket_id, item, sum(sim * 1.0) / sum(abs(sim)) AS score, sum(sim) AS support_sim
+  FROM near JOIN past USING (order_id) GROUP BY 1, 2)
+"""
+SQL["new_basket_scores"] = _with(NEW_AND_PAST) + """
+SELECT basket_id, item, round(score, 6) AS score, round(support_sim, 6) AS support_sim FROM scored"""
+SQL["new_basket_recommend"] = _with(NEW_AND_PAST) + """
+SELECT basket_id, item AS Recommendations, round(support_sim, 6) AS support_sim FROM scored s
+WHERE score > 0 AND NOT EXISTS (SELECT 1 FROM new n WHERE n.basket_id = s.basket_id AND n.item = s.item)"""
+
 PLAIN = "vals AS (SELECT user_id, item, rating AS v FROM ratings)"
 
 
@@ -227,6 +262,15 @@ _SIM_OUT = "SELECT target, neighbour, round(sim, 6) AS sim FROM sims"
 SQL["item_cosine"] = _with(PART_RATINGS, PLAIN, _sims("item", "cosine", 20)) + _SIM_OUT
 SQL["user_cosine"] = _with(PART_RATINGS, PLAIN, _sims("user", "cosine", 20)) + _SIM_OUT
 SQL["item_correlation"] = _with(EVENT_RATINGS, PLAIN, _sims("item", "correlation", None)) + _SIM_OUT
+SQL["item_jaccard"] = _with(
+    PART_RATINGS,
+    "sizes AS (SELECT item, count(*) AS n FROM ratings GROUP BY 1)",
+    f"""both_rated AS (
+      SELECT a.item AS target, b.item AS neighbour, {_stable("count(*) / CAST(any_value(x.n) + any_value(y.n) - count(*) AS DOUBLE)")} AS sim
+      FROM ratings a JOIN ratings b ON a.user_id = b.user_id AND a.item <> b.item
+      JOIN sizes x ON x.item = a.item JOIN sizes y ON y.item = b.item GROUP BY 1, 2)""",
+    "sims AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY target ORDER BY sim DESC) AS place FROM both_rated) WHERE place <= 20)",
+) + _SIM_OUT
 SQL["center_ratings"] = _with(PART_RATINGS, _centered()) + """
 SELECT user_id, item, round(rating, 6) AS rating, round(v, 6) AS v FROM vals JOIN ratings USING (user_id, item)"""
 SQL["shifted_similarities"] = _with(EVENT_RATINGS, _centered(), _sims("item", "cosine", 20, shift=True)) + _SIM_OUT
@@ -237,6 +281,11 @@ SQL["ibcf_correlation_predict"] = (
 )
 SQL["ubcf_predict"] = _with(PART_RATINGS, _centered(), _sims("user", "cosine", 300), _predicted("user", "ratings")) + _PRED_OUT
 
+_REQUESTS = """asked AS (
+  SELECT user_id, item FROM (SELECT DISTINCT user_id FROM ratings WHERE user_id IN (5, 10, 30)), (SELECT DISTINCT item FROM ratings))"""
+SQL["ibcf_requests"] = _with(PART_RATINGS, _REQUESTS, _centered(), _sims("item", "cosine", 300), _predicted("item", "asked")) + _PRED_OUT
+SQL["ubcf_requests"] = _with(PART_RATINGS, _REQUESTS, _centered(), _sims("user", "cosine", 300), _predicted("user", "asked")) + _PRED_OUT
+
 
 def _cross_validated(source: str, folds: int) -> str:
     """Train rows of every fold, then the same steps with the fold in each key."""
@@ -352,12 +401,16 @@ def _scored_random(n: int, seed: int = 1) -> str:
 {GIVEN_SIZES},
 circle AS (
   SELECT item, row_number() OVER (ORDER BY {_hash(seed, 'item')}, item) - 1 AS number FROM (SELECT DISTINCT item FROM train)),
+total AS (SELECT count(*) AS n FROM circle),
+tries AS (SELECT n + unnest(range(0, 300)) AS p FROM total),
+divided AS (SELECT p, unnest(range(2, CAST(floor(sqrt(p)) AS BIGINT) + 1)) AS d FROM tries),
+prime AS (SELECT min(p) AS p FROM tries WHERE p > 1 AND p NOT IN (SELECT p FROM divided WHERE p % d = 0)),
 steps AS (
-  SELECT basket_id, unnest(range(0, least(size + {n}, (SELECT count(*) FROM circle)))) AS step, {_hash(seed, 'basket_id')} AS start
-  FROM given_sizes),
+  SELECT basket_id, p, unnest(range(0, least(size + {n} + p - n, p))) AS step, {_hash(seed, 'basket_id')} % p AS start,
+    1 + {_hash(seed + 1, 'basket_id')} % (p - 1) AS stride
+  FROM given_sizes, prime, total),
 scored AS (
-  SELECT basket_id, item, CAST(-step AS DOUBLE) AS score
-  FROM steps JOIN circle ON number = (start % (SELECT count(*) FROM circle) + step) % (SELECT count(*) FROM circle))
+  SELECT basket_id, item, CAST(-step AS DOUBLE) AS score FROM steps JOIN circle ON number = (start + step * stride) % p)
 """
 
 
@@ -413,6 +466,15 @@ SQL["random_topn"] = _with(PART_BASKETS, FULL, _scored_random(10), _top(10)) + _
 SQL["item_based_topn"] = _with(PART_BASKETS, FULL, _scored_item_based(), _top(10)) + _TOP_OUT
 SQL["user_based_topn"] = _with(PART_BASKETS, _scheme(), _scored_user_based(), _top(10)) + _TOP_OUT
 
+SQL["training_part_lists"] = _with(
+    PART_BASKETS,
+    _scheme().replace("train AS (", "all_train AS (", 1).replace("given AS (", "all_given AS (", 1),
+    "train AS (SELECT * FROM all_train WHERE fold = 1)",
+    "given AS (SELECT * FROM all_given WHERE fold = 1)",
+    _scored_item_based(),
+    _top(10),
+) + "SELECT basket_id, string_agg(CAST(item AS VARCHAR), ',' ORDER BY rank) AS items FROM lists GROUP BY 1"
+
 _SCORED = {
     "association rules": _scored_rules(),
     "random items": _scored_random(20),

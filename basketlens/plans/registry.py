@@ -17,7 +17,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 RULE_SUPPORT = 0.003
 RULE_CONFIDENCE = 0.01
 PIVOT_ITEMS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
-PROFILED = ["InvoiceNo", "StockCode", "Description", "Quantity", "UnitPrice", "CustomerID", "Country"]
+PROFILED = ["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID", "Country"]
+ASKED_USERS = [5, 10, 30]
 
 
 def rounded(df: DataFrame, digits: int = 6, *names: str) -> DataFrame:
@@ -57,7 +58,7 @@ def product_line_count(spark, folder):
 
 def first_lines(spark, folder):
     raw = V.retail_raw(spark, folder)
-    return profile.first_rows(raw.drop("InvoiceDate"), *V.LINE_ORDER)
+    return profile.first_rows(raw.withColumn("InvoiceDate", F.date_format("InvoiceDate", "yyyy-MM-dd HH:mm:ss")), *V.LINE_ORDER)
 
 
 def null_profile(spark, folder):
@@ -153,6 +154,16 @@ def basket_recommend_unseen(spark, folder):
     return rounded(recommend.recommend_unseen_of_orders(V.part_baskets(spark, folder)), 6, "support_sim")
 
 
+def new_basket_scores(spark, folder):
+    new, past = V.new_and_past(spark, folder)
+    return rounded(recommend.score_items(new, past), 6, "score", "support_sim")
+
+
+def new_basket_recommend(spark, folder):
+    new, past = V.new_and_past(spark, folder)
+    return rounded(recommend.recommend_unseen(new, past), 6, "support_sim")
+
+
 # similarities and predictions ----------------------------------------------------------------
 
 
@@ -172,6 +183,11 @@ def item_correlation(spark, folder):
     return rounded(cf.find_similarities(_plain(V.event_ratings(spark, folder)), entity="item", metric="correlation"), 6, "sim")
 
 
+def item_jaccard(spark, folder):
+    found = cf.find_similarities(_plain(V.part_ratings(spark, folder)), entity="item", metric="jaccard", k=20)
+    return rounded(found, 6, "sim")
+
+
 def center_ratings(spark, folder):
     return rounded(cf.center_ratings(V.part_ratings(spark, folder)), 6, "rating", "v")
 
@@ -198,6 +214,17 @@ def ubcf_predict(spark, folder):
     return rounded(found, 4, "prediction")
 
 
+def _requested(entity: str) -> Query:
+    """All items for a few users given by name, rated or not."""
+
+    def run(spark, folder):
+        ratings = V.part_ratings(spark, folder)
+        asked = recommend.all_cells(ratings, ratings.filter(F.col("user_id").isin(ASKED_USERS)))
+        return rounded(cf.predict_cf(ratings, asked, entity=entity, center=True, k=300), 4, "prediction")
+
+    return run
+
+
 def rating_cv_predictions(spark, folder):
     found = evaluate.cross_validated_predictions(V.part_ratings(spark, folder), 3, entity="item", center=True, k=300)
     return rounded(found, 4, "prediction", "rating")
@@ -243,6 +270,14 @@ def _held_out(model) -> Query:
     return run
 
 
+def training_part_lists(spark, folder):
+    """One list per test order of the first fold, by a model of the orders of all other folds."""
+    scheme = evaluate.basket_scheme(V.part_baskets(spark, folder))
+    given = scheme.given.filter("fold = 1").drop("fold")
+    lists = models.as_lists(models.item_based(evaluate.training_part(scheme), given, 10))
+    return lists.withColumn("items", F.array_join("items", ","))
+
+
 # evaluation ----------------------------------------------------------------------------------
 
 MODELS = {
@@ -315,7 +350,10 @@ QUERIES: dict[str, Query] = {
     "basket_pivot": basket_pivot,
     "basket_recommend_all": basket_recommend_all,
     "basket_recommend_unseen": basket_recommend_unseen,
+    "new_basket_scores": new_basket_scores,
+    "new_basket_recommend": new_basket_recommend,
     "item_cosine": item_cosine,
+    "item_jaccard": item_jaccard,
     "item_correlation": item_correlation,
     "user_cosine": user_cosine,
     "center_ratings": center_ratings,
@@ -323,6 +361,8 @@ QUERIES: dict[str, Query] = {
     "ibcf_predict": ibcf_predict,
     "ibcf_correlation_predict": ibcf_correlation_predict,
     "ubcf_predict": ubcf_predict,
+    "ibcf_requests": _requested("item"),
+    "ubcf_requests": _requested("user"),
     "rating_cv_predictions": rating_cv_predictions,
     "rating_cv_rmse": rating_cv_rmse,
     "rules_mined": rules_mined,
@@ -332,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "item_based_topn": _completed(models.item_based),
     "user_based_topn": _held_out(models.user_based),
     "basket_folds": basket_folds,
+    "training_part_lists": training_part_lists,
     "model_confusion_rules": _confusion_of("association rules"),
     "model_confusion_random": _confusion_of("random items"),
     "model_confusion_popular": _confusion_of("popular items"),

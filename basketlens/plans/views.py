@@ -63,6 +63,23 @@ def name_baskets(spark: SparkSession, folder: str) -> DataFrame:
     return make_baskets(lines, "l_orderkey", "p_name")
 
 
+def dated_baskets(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as baskets of part numbers as texts, with the year of the order."""
+    lines = table(spark, folder, "lineitem").join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return lines.select(
+        F.col("l_orderkey").alias("order_id"), F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("item"), F.year("o_orderdate").alias("year")
+    ).distinct()
+
+
+def new_and_past(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The orders of the latest year as new baskets, each with a text that is no item; all earlier orders."""
+    dated = dated_baskets(spark, folder)
+    latest = F.broadcast(table(spark, folder, "orders").agg(F.year(F.max("o_orderdate")).alias("latest")))  # one row
+    marked = dated.crossJoin(latest)
+    new = marked.filter("year = latest").select(F.col("order_id").alias("basket_id"), F.explode(F.array("item", F.lit("(no such item)"))).alias("item"))
+    return new.distinct(), marked.filter("year < latest").select("order_id", "item")
+
+
 def part_ratings(spark: SparkSession, folder: str) -> DataFrame:
     """Customer x part ratings from 1 to 5, sparse."""
     lines = table(spark, folder, "lineitem").join(table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))

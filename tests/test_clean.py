@@ -144,3 +144,16 @@ def test_basket_shapes(spark):
     many = spark.range(300).select(F.col("id").alias("item"))
     numbers = sorted(r.number for r in baskets.numbered_items(many, 1, 16).collect())
     assert numbers == list(range(300))
+
+
+def test_numbers_written_as_plain_decimals_only(spark):
+    texts = ["12D", "12F", "12d", "1e5", "-3", ".5", "5.", "+2.5E-1", "1e", "", " 7 ", "NaN", "Infinity", "0x1A", "1_000", None]
+    got = [r.v for r in spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(C.plain_number(F.col("t")).alias("v")).collect()]
+    assert got == [None, None, None, 1e5, -3.0, 0.5, 5.0, 0.25, None, None, 7.0, None, None, None, None, None]
+
+
+def test_profile_of_every_kind_of_column(dirty):
+    rows = {r["column"]: r for r in profile.column_profile(dirty, ["Description", "Quantity", "InvoiceDate"]).collect()}
+    assert rows["InvoiceDate"]["earliest"] == rows["InvoiceDate"]["latest"] == "2011-03-07 12:34:56"
+    assert rows["Description"]["type"] == "string" and rows["Description"]["shortest"] == 1 and rows["Description"]["mean"] is None
+    assert rows["Quantity"]["n_distinct"] == 3 and rows["Quantity"]["longest"] is None
