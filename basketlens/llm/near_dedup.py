@@ -6,6 +6,8 @@
   so that small sets collide with the same probability as large ones.
 * ``bands`` bands of ``rows`` bins each are the bucket keys. At a similarity of 0.85, 32 bands of 8 miss
   a pair with probability 4e-5; the pairs that they find are confirmed on the full sets.
+* One bit of each bin makes a bit sketch. Pairs whose sketches differ in more bits than a pair at the
+  similarity does with a probability of 3e-5 (four standard deviations) are not worth a comparison of full sets.
 * Documents with equal sets are folded to one row first.
 * In a bucket, every member is paired with a centre only. A bucket whose members are not all in one
   component after that gets more centres, twice as many in each round, until each of its pairs has been
@@ -16,6 +18,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +35,9 @@ from basketlens.llm.tables import keep
 IS_WORD = ~byte_class((0x20, 0x20), (0x09, 0x0D))
 #: Bytes of a shingle hash that are kept for the exact comparison of two sets.
 KEPT_BYTES = 6
+#: Bins of a signature; the bands use the first ones, the bit sketch all of them. A power of two.
+BINS = 512
+SKETCH = [f"s{i}" for i in range(BINS // 64)]
 #: Below so many full bins, all of them are ranked for each empty bin; above, the order is walked.
 FEW_BINS = 48
 
@@ -91,31 +98,43 @@ def signature(hashes: np.ndarray, orders: tuple[np.ndarray, np.ndarray]) -> np.n
     return values
 
 
+def most_different(least: tuple[int, int]) -> int:
+    """Bits in which the sketches of two sets at the similarity may differ, with four standard deviations."""
+    chance = (1 - least[0] / least[1]) / 2
+    return int(BINS * chance + 4 * (BINS * chance * (1 - chance)) ** 0.5)
+
+
 def sketch(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """Per document: set size, a fingerprint of the set, and the bucket keys (none for an empty set)."""
-    turns, salts = constants(rows, 37), constants(bands, 41)
+    """Per document: set size, a fingerprint of the set, the bucket keys and the bit sketch (none for an empty set)."""
+    turns, salts, coins = constants(rows, 37), constants(bands, 41), constants(BINS, 43)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, orders = SpanHasher(11, lower=True), bin_orders(bands * rows)
+        hasher, orders = SpanHasher(11, lower=True), bin_orders(BINS)
         for batch in batches:
-            sizes, marks, keys, lengths = [], [], [], []
+            sizes, marks, keys, lengths, bits = [], [], [], [], []
             for _, _, buf, offsets in blocks(binary_column(batch, "text")):
                 for hashes in shingle_hashes(hasher, buf, offsets, words):
                     sizes.append(len(hashes))
                     marks.append((hashes.sum(dtype=np.uint64), mix(hashes).sum(dtype=np.uint64)))
                     lengths.append(bands if len(hashes) else 0)
                     if len(hashes):
-                        values = signature(hashes, orders).reshape(bands, rows)
-                        keys.append(mix((values * turns).sum(axis=1, dtype=np.uint64) + salts))
+                        values = signature(hashes, orders)
+                        banded = values[: bands * rows].reshape(bands, rows)
+                        keys.append(mix((banded * turns).sum(axis=1, dtype=np.uint64) + salts))
+                        bits.append(np.packbits((mix(values ^ coins) & np.uint64(1)).astype(np.uint8)).view(np.int64))
+                    else:
+                        bits.append(np.zeros(len(SKETCH), np.int64))
             flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
             marked = np.array(marks, np.uint64).reshape(-1, 2).view(np.int64)
             ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+            sketches = np.array(bits, np.int64).reshape(-1, len(SKETCH))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(marked[:, 0]), pa.array(marked[:, 1]), pa.ListArray.from_arrays(ends, pa.array(flat))],
-                ["id", "n", "mark1", "mark2", "keys"],
-            )
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(marked[:, 0]), pa.array(marked[:, 1]), pa.ListArray.from_arrays(ends, pa.array(flat)),
+                 *(pa.array(np.ascontiguousarray(c)) for c in sketches.T)],
+                ["id", "n", "mark1", "mark2", "keys", *SKETCH],
+            )
 
-    return docs.mapInArrow(run, "id bigint, n bigint, mark1 bigint, mark2 bigint, keys array<bigint>")
+    return docs.mapInArrow(run, "id bigint, n bigint, mark1 bigint, mark2 bigint, keys array<bigint>, " + ", ".join(f"{c} bigint" for c in SKETCH))
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -166,10 +185,12 @@ def confirm(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFr
 def _candidates(members: DataFrame, slices: int, least: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
     """Pairs of this round, and the centres (bucket, id) that need not be paired again."""
     share, whole = least
-    centres = members.groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(slices)).alias("slice")).agg(F.min(F.struct("id", "n", "component")).alias("centre"))
+    centres = members.groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(slices)).alias("slice")).agg(F.min(F.struct("id", "n", "component", *SKETCH)).alias("centre"))
     centres = centres.select("bucket", "centre")
+    different = reduce(add, [F.bit_count(F.col(c).bitwiseXOR(F.col(f"centre.{c}"))) for c in SKETCH])
     met = members.join(centres, "bucket").where(
-        (F.col("component") != F.col("centre.component"))
+        (different <= most_different(least))
+        & (F.col("component") != F.col("centre.component"))
         & (F.col("n") * whole >= F.col("centre.n") * share)
         & (F.col("centre.n") * whole >= F.col("n") * share)
     )
@@ -192,14 +213,14 @@ def near_duplicates(
     links, itself included) and ``kept`` (key = component_id). Null, empty and blank texts have an empty
     set and link with nothing. A text with fewer words has its whole sequence as its one shingle. Rows
     with equal keys count as one document. A row whose key is null is linked with nothing, has a null
-    component and is kept. Extra columns are ignored. ``bands * rows`` must be a power of two.
+    component and is kept. Extra columns are ignored. ``bands * rows`` may be at most ``BINS``.
     """
     rows_in = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("binary").alias("text"))
     sketched = keep(sketch(rows_in, words, bands, rows))
     known = sketched.where("n > 0 AND id IS NOT NULL")
-    groups = keep(known.groupBy("n", "mark1", "mark2").agg(F.min("id").alias("head"), F.first("keys").alias("keys")))
+    groups = keep(known.groupBy("n", "mark1", "mark2").agg(F.min("id").alias("head"), F.first("keys").alias("keys"), *(F.first(c).alias(c) for c in SKETCH)))
 
-    entries = groups.select(F.explode("keys").alias("bucket"), F.col("head").alias("id"), "n").distinct()
+    entries = groups.select(F.explode("keys").alias("bucket"), F.col("head").alias("id")).distinct()
     shared = entries.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("bucket")
     members = keep(entries.join(shared, "bucket"))
     heads = members.select("id").distinct()
@@ -208,7 +229,8 @@ def near_duplicates(
         .groupBy("id").agg(F.first("shingles").alias("shingles"))
     )
     labels = keep(heads.withColumn("component", F.col("id")))
-    slices, waiting = 1, members.join(labels, "id")
+    sizes = groups.select(F.col("head").alias("id"), "n", *SKETCH)
+    slices, waiting = 1, members.join(sizes, "id").join(labels, "id")
     while True:
         waiting = keep(_unsettled(waiting))
         if waiting.isEmpty():
@@ -226,7 +248,7 @@ def near_duplicates(
         slices *= 2
 
     # keys that stand for several texts connect the groups that they are in
-    inside = known.select("n", "mark1", "mark2", "id").join(groups.drop("keys"), ["n", "mark1", "mark2"])
+    inside = known.select("n", "mark1", "mark2", "id").join(groups.select("n", "mark1", "mark2", "head"), ["n", "mark1", "mark2"])
     inside = inside.join(labels.withColumnRenamed("id", "head"), "head", "left").select("id", F.coalesce("component", "head").alias("component"))
     inside = keep(inside.distinct())
     doubled = inside.groupBy("id").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
