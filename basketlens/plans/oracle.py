@@ -161,6 +161,18 @@ SQL["basket_pivot"] = (
     + " FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1"
 )
 
+_TYPES = ", ".join(f"'{t}'" for t in _PIVOT)
+SQL["basket_cells"] = f"SELECT DISTINCT l_orderkey AS order_id, p_type AS item FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_type IN ({_TYPES})"
+SQL["invoice_keys"] = _with(RAW) + "SELECT coalesce(CustomerID, 'NA') || ' ' || coalesce(InvoiceNo, 'NA') AS key, count(*) AS lines FROM raw GROUP BY 1"
+SQL["last_order_membership"] = _with(PART_BASKETS) + """
+SELECT item, CAST(max(CASE WHEN order_id = (SELECT max(order_id) FROM baskets) THEN 1 ELSE 0 END) AS DOUBLE) AS value FROM baskets GROUP BY 1"""
+SQL["appended_orders"] = """
+WITH dated AS (
+  SELECT DISTINCT l_orderkey AS order_id, 'part ' || CAST(l_partkey AS VARCHAR) AS item, year(o_orderdate) AS y, (SELECT year(max(o_orderdate)) FROM orders) AS latest
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT order_id, item FROM dated UNION ALL
+SELECT DISTINCT order_id, '(no such item)' FROM dated WHERE y = latest"""
+
 RECOMMENDED = """
 sizes AS (SELECT order_id, count(*) AS size FROM baskets GROUP BY 1),
 shared_items AS (
@@ -262,6 +274,8 @@ _SIM_OUT = "SELECT target, neighbour, round(sim, 6) AS sim FROM sims"
 SQL["item_cosine"] = _with(PART_RATINGS, PLAIN, _sims("item", "cosine", 20)) + _SIM_OUT
 SQL["user_cosine"] = _with(PART_RATINGS, PLAIN, _sims("user", "cosine", 20)) + _SIM_OUT
 SQL["item_correlation"] = _with(EVENT_RATINGS, PLAIN, _sims("item", "correlation", None)) + _SIM_OUT
+SQL["item_products"] = _with(EVENT_RATINGS) + """
+SELECT a.item AS x_col, b.item AS y_col, round(sum(a.rating * b.rating), 6) AS value FROM ratings a JOIN ratings b ON a.user_id = b.user_id GROUP BY 1, 2"""
 SQL["item_jaccard"] = _with(
     PART_RATINGS,
     "sizes AS (SELECT item, count(*) AS n FROM ratings GROUP BY 1)",

@@ -8,6 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketlens.functions.columns import pasted
 from basketlens.operators import baskets as B
 from basketlens.operators import cf, clean, evaluate, explore, models, profile, recommend, rules
 from basketlens.plans import views as V
@@ -142,6 +143,28 @@ def basket_pivot(spark, folder):
     return B.basket_table(B.make_baskets(lines, "l_orderkey", "p_type"), PIVOT_ITEMS)
 
 
+def basket_cells(spark, folder):
+    return B.nonzero_cells(basket_pivot(spark, folder), "order_id")
+
+
+def invoice_keys(spark, folder):
+    """One text per customer and invoice, a missing customer written out."""
+    raw = V.retail_raw(spark, folder)
+    return raw.select(pasted(F.col("CustomerID"), F.col("InvoiceNo")).alias("key")).groupBy("key").agg(F.count("*").alias("lines"))
+
+
+def last_order_membership(spark, folder):
+    """All items, marked by whether the order with the largest number holds them."""
+    baskets = V.part_baskets(spark, folder)
+    last = F.broadcast(baskets.agg(F.max("order_id").alias("order_id")))  # one row
+    return B.membership(B.item_list(baskets), baskets.join(last, "order_id"))
+
+
+def appended_orders(spark, folder):
+    new, past = V.new_and_past(spark, folder)
+    return B.append_order(new, past)
+
+
 # basket recommendation -----------------------------------------------------------------------
 
 
@@ -183,6 +206,11 @@ def item_correlation(spark, folder):
     return rounded(cf.find_similarities(_plain(V.event_ratings(spark, folder)), entity="item", metric="correlation"), 6, "sim")
 
 
+def item_products(spark, folder):
+    cells = V.event_ratings(spark, folder).select(F.col("user_id").alias("row"), F.col("item").alias("col"), F.col("rating").alias("value"))
+    return rounded(cf.sparse_product(cells, cells), 6, "value")
+
+
 def item_jaccard(spark, folder):
     found = cf.find_similarities(_plain(V.part_ratings(spark, folder)), entity="item", metric="jaccard", k=20)
     return rounded(found, 6, "sim")
@@ -348,12 +376,17 @@ QUERIES: dict[str, Query] = {
     "baskets": retail_baskets,
     "item_list": item_list,
     "basket_pivot": basket_pivot,
+    "basket_cells": basket_cells,
+    "invoice_keys": invoice_keys,
+    "last_order_membership": last_order_membership,
+    "appended_orders": appended_orders,
     "basket_recommend_all": basket_recommend_all,
     "basket_recommend_unseen": basket_recommend_unseen,
     "new_basket_scores": new_basket_scores,
     "new_basket_recommend": new_basket_recommend,
     "item_cosine": item_cosine,
     "item_jaccard": item_jaccard,
+    "item_products": item_products,
     "item_correlation": item_correlation,
     "user_cosine": user_cosine,
     "center_ratings": center_ratings,
