@@ -18,15 +18,13 @@ def components(links: DataFrame) -> DataFrame:
     neighbours is combined before the shuffle.
     """
     open_links = keep(links.where("a <> b").select("a", "b").distinct())
-    found = keep(open_links.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("component", F.col("node")))
+    found = open_links.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("component", F.col("node"))
     while not open_links.isEmpty():
         both = open_links.unionByName(open_links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hooks = keep(both.groupBy(F.col("a").alias("from")).agg(F.min("b").alias("to")).where(F.col("to") < F.col("from")))
-        found = keep(
-            found.join(hooks, found["component"] == hooks["from"], "left").select("node", F.coalesce("to", "component").alias("component"))
-        )
+        found = found.join(hooks, found["component"] == hooks["from"], "left").select("node", F.coalesce("to", "component").alias("component"))
         for end in ("a", "b"):
             hooked = hooks.select(F.col("from").alias(end), F.col("to").alias(f"{end}_to"))
             open_links = open_links.join(hooked, end, "left").withColumn(end, F.coalesce(f"{end}_to", end)).drop(f"{end}_to")
         open_links = keep(open_links.where("a <> b").select("a", "b").distinct())
-    return found
+    return keep(found)

@@ -10,8 +10,9 @@
   similarity does with a probability of 3e-5 (four standard deviations) are not worth a comparison of full sets.
 * Documents with equal sets are folded to one row first.
 * In a bucket, every member is paired with a centre only. A bucket whose members are not all in one
-  component after that gets more centres, twice as many in each round, until each of its pairs has been
-  compared or lies in one component. So no link that a bucket holds is lost, and pairs inside a group
+  component after that gets more centres, ``GROWTH`` times as many in each round, until each of its pairs has
+  been compared or lies in one component. No pair is compared twice, and after the first round a pair is made
+  only in the first bucket that it shares: while its ends lie in two components, that bucket stays open. So no link that a bucket holds is lost, and pairs inside a group
   that is already connected are never made.
 """
 
@@ -38,6 +39,8 @@ KEPT_BYTES = 6
 #: Bins of a signature; the bands use the first ones, the bit sketch all of them. A power of two.
 BINS = 512
 SKETCH = [f"s{i}" for i in range(BINS // 64)]
+#: Times as many centres a bucket gets in each further round.
+GROWTH = 8
 #: Below so many full bins, all of them are ranked for each empty bin; above, the order is walked.
 FEW_BINS = 48
 
@@ -185,7 +188,9 @@ def confirm(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFr
 def _candidates(members: DataFrame, slices: int, least: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
     """Pairs of this round, and the centres (bucket, id) that need not be paired again."""
     share, whole = least
-    centres = members.groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(slices)).alias("slice")).agg(F.min(F.struct("id", "n", "component", *SKETCH)).alias("centre"))
+    keyed = ["keys"] if "keys" in members.columns else []
+    carried = F.struct("id", "n", "component", *SKETCH, *keyed)
+    centres = members.groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(slices)).alias("slice")).agg(F.min(carried).alias("centre"))
     centres = centres.select("bucket", "centre")
     different = reduce(add, [F.bit_count(F.col(c).bitwiseXOR(F.col(f"centre.{c}"))) for c in SKETCH])
     met = members.join(centres, "bucket").where(
@@ -194,6 +199,8 @@ def _candidates(members: DataFrame, slices: int, least: tuple[int, int]) -> tupl
         & (F.col("n") * whole >= F.col("centre.n") * share)
         & (F.col("centre.n") * whole >= F.col("n") * share)
     )
+    if keyed:  # a pair is made in the first bucket that it shares, not in each
+        met = met.where(F.element_at(F.array_intersect("keys", "centre.keys"), 1) == F.col("bucket"))
     pairs = met.select(F.least("id", "centre.id").alias("a"), F.greatest("id", "centre.id").alias("b")).distinct()
     return pairs, centres.select("bucket", F.col("centre.id").alias("id"))
 
@@ -230,22 +237,30 @@ def near_duplicates(
     )
     labels = keep(heads.withColumn("component", F.col("id")))
     sizes = groups.select(F.col("head").alias("id"), "n", *SKETCH)
-    slices, waiting = 1, members.join(sizes, "id").join(labels, "id")
+    slices, waiting, tested = 1, members.join(sizes, "id").join(labels, "id"), None
     while True:
         waiting = keep(_unsettled(waiting))
         if waiting.isEmpty():
             break
         pairs, centres = _candidates(waiting, slices, least)
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = keep(pairs)
+        tested = pairs if tested is None else tested.unionByName(pairs)
         links = keep(confirm(pairs, sets, least))
-        named = links
-        for end in ("a", "b"):
-            named = named.join(labels.select(F.col("id").alias(end), F.col("component").alias(f"{end}_in")), end)
-        joined = components(named.select(F.col("a_in").alias("a"), F.col("b_in").alias("b")))
-        labels = keep(
-            labels.join(joined, labels["component"] == joined["node"], "left").select("id", F.coalesce(joined["component"], labels["component"]).alias("component"))
-        )
-        waiting = waiting.join(centres, ["bucket", "id"], "left_anti").drop("component").join(labels, "id")
-        slices *= 2
+        waiting = waiting.join(centres, ["bucket", "id"], "left_anti")
+        if slices == 1:  # few are left: they carry their bucket keys from here on
+            waiting = waiting.join(groups.select(F.col("head").alias("id"), "keys"), "id")
+        if not links.isEmpty():
+            named = links
+            for end in ("a", "b"):
+                named = named.join(labels.select(F.col("id").alias(end), F.col("component").alias(f"{end}_in")), end)
+            joined = components(named.select(F.col("a_in").alias("a"), F.col("b_in").alias("b")))
+            labels = keep(
+                labels.join(joined, labels["component"] == joined["node"], "left").select("id", F.coalesce(joined["component"], labels["component"]).alias("component"))
+            )
+            waiting = waiting.drop("component").join(labels, "id")
+        slices *= GROWTH
 
     # keys that stand for several texts connect the groups that they are in
     inside = known.select("n", "mark1", "mark2", "id").join(groups.select("n", "mark1", "mark2", "head"), ["n", "mark1", "mark2"])
