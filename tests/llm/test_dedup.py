@@ -114,3 +114,15 @@ def test_repeats_edges(cluttered, docs, none, odd):
     assert rows == [(0, 0), (0, 0), (1, inner), (1, inner), (2, 0), (2, 0), (3, n)]
     with pytest.raises(ValueError):
         suffix_dedup.remove_repeats(docs, least=500)
+
+
+def test_pipeline_links_near_copies_from_080_on(spark):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(304)]  # 300 shingles
+    rows = [(0, " ".join(words)), (1, " ".join([*words[:272], *(f"q{i}" for i in range(32))])), (5, " ".join([*words[:262], *(f"z{i}" for i in range(42))]))]
+    one, two, five = (brute.shingles(text) for _, text in rows)
+    assert 0.80 <= len(one & two) / len(one | two) < 0.85
+    assert len(one & five) / len(one | five) < 0.80 and len(two & five) / len(two | five) < 0.80
+    kept = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 5]
