@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -42,15 +43,25 @@ def cut_lengths(total: int, capacity: int) -> list[int]:
     return ([rest] if rest else []) + [capacity] * (total // capacity)
 
 
-def pieces(docs: DataFrame, ranks_path: str, pattern: str, capacity: int, end_id: int) -> DataFrame:
-    """(id, piece, start, length, crc) of every document, tokenized by a byte-level BPE rank file."""
+def added_tokens(json_path: str) -> dict[str, int]:
+    """The added tokens of a tokenizer file, which stand for one id wherever a text holds their string."""
+    with open(json_path, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    for token in added:
+        if token["single_word"] or token["lstrip"] or token["rstrip"] or token["normalized"]:
+            raise ValueError(f"added token {token['content']!r} is not matched as it stands")
+    return {token["content"]: token["id"] for token in added}
+
+
+def pieces(docs: DataFrame, ranks_path: str, pattern: str, capacity: int, end_id: int, special: dict[str, int]) -> DataFrame:
+    """(id, piece, start, length, crc) of every document, tokenized by a byte-level BPE rank file and added tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
 
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        encoding = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        encoding = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
         known: dict[bytes, list[tuple[int, int, int]]] = {}
         for batch in batches:
             ids, out = batch.column(0), []
@@ -60,7 +71,7 @@ def pieces(docs: DataFrame, ranks_path: str, pattern: str, capacity: int, end_id
                 mark = hashlib.blake2b(body.encode(), digest_size=16).digest()
                 found = known.get(mark)
                 if found is None:
-                    tokens = np.append(np.array(encoding.encode_ordinary(body), "<u4"), np.uint32(end_id)).astype("<u4")
+                    tokens = np.append(np.array(encoding.encode(body, allowed_special="all"), "<u4"), np.uint32(end_id)).astype("<u4")
                     found, start = [], 0
                     for length in cut_lengths(len(tokens), capacity):
                         found.append((start, length, zlib.crc32(tokens[start : start + length].tobytes())))
@@ -135,17 +146,19 @@ def ranked(table: DataFrame, rows: int) -> DataFrame:
 
 
 def pack(
-    docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID
-) -> DataFrame:
+    docs: DataFrame, ranks_path: str, pattern: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID,
+    special: dict[str, int] | None = None,
+) -> DataFrame:
     """Pack all documents into sequences of at most ``capacity`` tokens.
 
     A document's tokens are those of its whole text and then ``end_id``; a null text is empty and so has one
-    token. Only documents of more than ``capacity`` tokens are cut. Returns one row per piece: the key,
+    token. The strings in ``special`` (``added_tokens`` of the vocabulary) have the one id given there, and
+    are ordinary text if it is left out, as a rank file does not hold them. Only documents of more than ``capacity`` tokens are cut. Returns one row per piece: the key,
     ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``. Rows with null or repeated
     keys are documents like any other. An empty table gives an empty result; extra columns are ignored.
     """
     rows = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
-    table = keep(pieces(rows, ranks_path, pattern, capacity, end_id), "pieces")
+    table = keep(pieces(rows, ranks_path, pattern, capacity, end_id, special or {}), "pieces")
     counts = {r["length"]: r["n"] for r in table.groupBy("length").agg(F.count("*").alias("n")).collect()}  # a row per token count at most
     plan = match_rounds(counts, capacity)
     spark = docs.sparkSession

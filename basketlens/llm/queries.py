@@ -55,7 +55,8 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    special = packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, special=special)
 
 
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:

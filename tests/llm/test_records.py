@@ -171,3 +171,23 @@ def test_benchmark_search_edges(spark, docs, cluttered, none, odd):
             (0, 0), (0, 2), (1, 2), (1, 2), (2, 0), (2, 0), (3, 2)
         ]
     assert not any(r["contaminated"] for r in decontaminate.contamination(docs, benchmark.where("false")).collect())
+
+
+def test_packing_takes_added_tokens_as_the_unchanged_tokenizer_does(spark):
+    from tokenizers import Tokenizer
+
+    from basketlens.llm import queries
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = ["a <|endoftext|> b", end, end * 3, f"x  {end}\n\n {end}é", f"<|endof{end}text|>", "<|ENDOFTEXT|> <|endoftext|", f"word {end} " * 900, "no token", ""]
+    found = defaultdict(list)
+    for r in queries.pack_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect():
+        found[r["doc_id"]].append((r["piece"], r["start"], r["length"], r["ids_crc32"]))
+    for key, text in enumerate(texts):
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        want, start = [], 0
+        for number, length in enumerate(packing.cut_lengths(len(ids), 1024)):
+            want.append((number, start, length, zlib.crc32(ids[start : start + length].tobytes())))
+            start += length
+        assert sorted(found[key]) == want, text
