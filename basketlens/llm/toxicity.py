@@ -101,7 +101,7 @@ class Units:
         starts, ends, doc = starts[real], ends[real], doc[real]
         self.words = (starts, ends, doc)
         size = ends - starts
-        extra, extra_doc = self._spelled(starts, size, doc)
+        extra, extra_doc = self._spelled(buf, starts, ends, doc)
         pieces_s, pieces_n, pieces_d = [starts[(size >= SHORTEST) & (size <= LONGEST)]], [size[(size >= SHORTEST) & (size <= LONGEST)]], [doc[(size >= SHORTEST) & (size <= LONGEST)]]
         for s, length, d in zip(*(x[size > LONGEST] for x in (starts, size, doc)), strict=True):
             at = np.append(np.arange(s, s + length - LONGEST, LONGEST // 2), s + length - LONGEST)
@@ -119,16 +119,27 @@ class Units:
         self.hashes = hasher.spans(self.starts, self.starts + self.sizes)
         self.hasher = hasher
 
-    def _spelled(self, starts: np.ndarray, size: np.ndarray, doc: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
-        """Runs of single characters of one document, joined."""
-        single = size == 1
+    def _spelled(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, doc: np.ndarray) -> tuple[list[np.ndarray], list[int]]:
+        """Runs of single characters of one document, joined, in windows if they are long."""
+        lead = (buf & 0xC0) != 0x80
+        lead[:-1] &= ~((buf[:-1] == 0xCC) | (buf[:-1] == 0xCD) & (buf[1:] < 0xB0))  # combining marks belong to their letter
+        before = np.concatenate([[0], np.cumsum(lead)])
+        single = before[ends] - before[starts] == 1
         if not single.any():
             return [], []
         same = np.concatenate([[False], single[1:] & single[:-1] & (doc[1:] == doc[:-1]), [False]])
         begins = np.flatnonzero(~same[:-1] & same[1:])
         stops = np.flatnonzero(same[:-1] & ~same[1:])
-        found = [(self.codes[starts[a : b + 1]][i : i + LONGEST], int(doc[a])) for a, b in zip(begins, stops, strict=True) if b - a + 1 >= SHORTEST for i in range(0, max(b - a + 1 - LONGEST, 0) + 1, LONGEST // 2)]
-        return [f[0] for f in found], [f[1] for f in found]
+        found, found_doc = [], []
+        for a, b in zip(begins.tolist(), stops.tolist(), strict=True):
+            if b - a + 1 < SHORTEST:
+                continue
+            run = np.concatenate([self.codes[s:e] for s, e in zip(starts[a : b + 1].tolist(), ends[a : b + 1].tolist(), strict=True)])
+            last = max(len(run) - LONGEST, 0)
+            windows = [*range(0, last, LONGEST // 2), last]
+            found += [run[i : i + LONGEST] for i in windows]
+            found_doc += [int(doc[a])] * len(windows)
+        return found, found_doc
 
     def values(self, chosen: np.ndarray, weights: np.ndarray, table: dict) -> np.ndarray:
         """Kernel machine values of the chosen units: sums of normalised weights times their values."""

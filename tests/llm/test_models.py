@@ -1,5 +1,6 @@
 """Toxicity, languages and page text: held-out accuracy, definitions, edge cases."""
 
+import re
 from itertools import combinations
 
 import numpy as np
@@ -137,3 +138,28 @@ def test_page_text_edges(spark):
     found = html_text.extract(pages).collect()
     assert sorted((r["page_id"] or 0, r["n_chars"]) for r in found) == [(0, 1), (1, 0), (1, 0), (2, 1_999_999)]
     assert html_text.extract(pages.where("false")).count() == 0
+
+
+def units_of(text: str) -> list[list[int]]:
+    body = np.frombuffer(text.encode(), np.uint8)
+    units = toxicity.Units(toxicity.SpanHasher(61), body, np.array([0, len(body)]))
+    return [units.codes[s : s + n].tolist() for s, n in zip(units.starts, units.sizes, strict=True)]
+
+
+def codes_of(text: str) -> list[int]:
+    return toxicity.CODE[np.frombuffer(text.encode(), np.uint8)].tolist()
+
+
+@pytest.mark.parametrize("length", [3, 23, 24, 25, 30, 35, 36, 37, 60, 71])
+def test_spelled_runs_are_read_to_their_end(length):
+    letters = "".join(chr(97 + i * 7 % 26) for i in range(length))
+    units = units_of("the " + " ".join(letters))
+    assert codes_of(letters)[-toxicity.LONGEST :] in units
+    for i in range(length - 2):  # each three letters stand in a unit together
+        assert any(codes_of(letters[i : i + 3]) == u[j : j + 3] for u in units for j in range(len(u)))
+
+
+@pytest.mark.parametrize("word", ["d\u00e9bile", "идиот", "ηλίθιος", "de\u0301bile"])
+def test_spelled_runs_take_characters_not_bytes(word):
+    letters = re.findall("[^\u0300-\u036f][\u0300-\u036f]*", word)
+    assert codes_of(word) in units_of("so ein " + " ".join(letters) + " hier")
