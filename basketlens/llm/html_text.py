@@ -40,6 +40,23 @@ NAMES = {
     "widget", "complementary", "contentinfo", "search", "dialog", "alert", "disclaimer", "login", "paywall", "recommended", "recommendations",
 }
 ARTICLE = {"article", "main"}
+#: End tags that HTML lets one omit: what a start tag ends, and the elements beyond which it does not look for it.
+CELLS, ROWS = {"td", "th"}, {"thead", "tbody", "tfoot"}
+ENDS = {
+    "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select", "datalist"}),
+    "optgroup": ({"option", "optgroup"}, {"select"}), "td": (CELLS, {"table", "tr"}), "th": (CELLS, {"table", "tr"}), "tr": (CELLS | {"tr"}, {"table"}),
+    **{tag: (CELLS | ROWS | {"tr", "caption", "colgroup"}, {"table"}) for tag in ROWS}, "body": ({"head"}, {"html"}),
+}
+#: Start tags that end an open paragraph, and the elements that keep it open.
+P_ENDS = {
+    "address", "article", "aside", "blockquote", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2",
+    "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "li", "main", "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "ul",
+}
+P_HELD = {"td", "th", "caption", "table", "button", "html"}
+#: What may stand in a head; any other start tag ends it.
+IN_HEAD = RAW | {"base", "link", "meta", "head"}
+#: End tags do not reach beyond a table or a cell, but for those of its own parts; that of an item not beyond its list.
+PARTS = CELLS | ROWS | {"tr", "table", "caption", "colgroup"}
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$)", re.S)
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -80,12 +97,47 @@ def is_around(tag: str, attributes: str, articles: int) -> bool:
     return bool(words & NAMES) or bool(HIDDEN.search(attributes)) and tag not in INLINE
 
 
+def ended_by(tag: str, open_tags: list[str]) -> int:
+    """Of the open elements, how many stay open at this start tag."""
+    keep = len(open_tags)
+    if tag in P_ENDS:
+        for i in range(keep - 1, -1, -1):
+            if open_tags[i] == "p":
+                keep = i
+                break
+            if open_tags[i] in P_HELD:
+                break
+    if tag not in IN_HEAD and "head" in open_tags:
+        keep = min(keep, open_tags.index("head"))
+    ended, held = ENDS.get(tag, ((), ()))
+    for i in range(keep - 1, -1, -1):
+        if open_tags[i] in ended:
+            keep = i
+        elif open_tags[i] in held:
+            break
+    return keep
+
+
+def closed_by(tag: str, open_tags: list[str]) -> int:
+    """Of the open elements, how many stay open at this end tag: all, if it is a stray one."""
+    for i in range(len(open_tags) - 1, -1, -1):
+        if open_tags[i] == tag:
+            return i
+        if open_tags[i] in (("table",) if tag in PARTS else ("table", "td", "th", "caption")) or tag == "li" and open_tags[i] in ("ul", "ol", "menu"):
+            if tag not in ("body", "html"):
+                break
+    return len(open_tags)
+
+
 def page_lines(page: str) -> Lines:
-    lines, at, skipped, articles, links = Lines(), 0, [], 0, 0
+    """Lines of a page. ``skip`` is the place of the skipped element among the open ones, if there is one."""
+    lines, at, links, articles = Lines(), 0, 0, 0
+    open_tags: list[str] = []
+    skip: int | None = None
     for token in TOKEN.finditer(page):
         if token.start() < at:
             continue
-        if not skipped:
+        if skip is None:
             piece = page[at : token.start()]
             lines.parts.append(piece)
             if links:
@@ -99,26 +151,47 @@ def page_lines(page: str) -> Lines:
         if tag in RAW and not closing and not empty:
             end = re.compile(rf"</{re.escape(tag)}(?![a-z0-9-])[^>]*(?:>|$)", re.I).search(page, at)
             at = end.end() if end else len(page)
-        elif skipped:
-            if closing and tag in skipped:
-                while skipped.pop() != tag:
-                    pass
-            elif not closing and not empty and (tag == skipped[0] or tag in skipped):
-                skipped.append(tag)
+            continue
+        if closing and tag in INLINE and (skip is None or open_tags[skip] != tag):
+            left = len(open_tags)  # inline elements are open ones only where they are skipped
+        else:
+            left = closed_by(tag, open_tags) if closing else ended_by(tag, open_tags)
+        if left < len(open_tags):
+            gone = 0  # articles that end; those inside a skipped element do not count
+            if skip is None:
+                gone = sum(t in ARTICLE for t in open_tags[left:])
+                lines.end(bool(articles), GAP if gone else 0)
+                links = 0
+            elif left <= skip:
+                gone = sum(t in ARTICLE for t in open_tags[left:skip])
+                skip, links = None, 0
+                if gone:
+                    lines.end(bool(articles), GAP)
+            articles -= gone
+            del open_tags[left:]
+        if skip is not None:
+            if not closing and not empty and (tag not in INLINE or tag == open_tags[skip]):
+                open_tags.append(tag)
+        elif closing and tag not in INLINE:
+            lines.end(bool(articles))
+            links = 0
         elif tag == "a":
             links = 0 if closing else 1
         elif tag == "br":
             lines.parts.append(" ")
-        elif not closing and not empty and is_around(tag, attributes, articles):
+        elif closing:
+            continue
+        elif not empty and is_around(tag, attributes, articles):
             lines.end(bool(articles), 1)
-            skipped.append(tag)
-        elif tag in ARTICLE:
-            lines.end(bool(articles), GAP)
-            articles = max(articles + (-1 if closing else 1), 0)
+            skip = len(open_tags)
+            open_tags.append(tag)
         elif tag not in INLINE:
-            lines.end(bool(articles))
+            lines.end(bool(articles), GAP if tag in ARTICLE and not empty else 0)
             links = 0
-    if not skipped and at < len(page):
+            if not empty:
+                articles += tag in ARTICLE
+                open_tags.append(tag)
+    if skip is None and at < len(page):
         lines.parts.append(page[at:])
     lines.end(bool(articles))
     return lines

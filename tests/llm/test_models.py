@@ -163,3 +163,21 @@ def test_spelled_runs_are_read_to_their_end(length):
 def test_spelled_runs_take_characters_not_bytes(word):
     letters = re.findall("[^\u0300-\u036f][\u0300-\u036f]*", word)
     assert codes_of(word) in units_of("so ein " + " ".join(letters) + " hier")
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ('<article><p class="notice">Note<p>Para 1</p><p>Para 2</p></article>', "Para 1\nPara 2"),
+        ('<ul><li class="share">Share<li>One<li>Two</ul>', "One\nTwo"),
+        ("<head><title>T</title><body><article>Text</article>", "Text"),
+        ("<html><head><meta charset=utf-8><title>T</title><p>Text", "Text"),
+        ('<article><div class="ad">Buy</article><p>After</p>', "After"),
+        ('<dl><dt class="promo">P<dd>Text</dl>', "Text"),
+        ('<table><tr><td class="ad">Buy<td>Text<tr class="ad"><td>Buy<tr><td>More</table>', "Text\nMore"),
+        ('<div class="ad"><ul><li>Buy</ul><p>Buy<p>Buy</div><p>Text', "Text"),
+        ('<p>Text <span class="ad">Buy <span>now</span> here</span></p><p>More', "Text\nMore"),
+    ],
+)
+def test_skipped_elements_end_where_html_ends_them(page, text):
+    assert html_text.main_text(page) == text
