@@ -4,8 +4,8 @@ Markup is stripped first: scripts, styles and comments go, block tags end a line
 elements that are never article text (menus, forms, adverts and the like, by tag or by a word of their
 class, id or role) leave an empty line. Of every line its text length without link text is taken, and the
 lengths of ``WIDTH`` lines at a time are summed. Text surges where a sum rises over ``SURGE``; it dives where
-the sum falls to nothing. The lines between such points are the main text. Where no block of a page is that
-dense, the stretch with most text is taken. If the page marks an article, only lines in it carry weight, links
+the sum falls to nothing. The lines between such points are the main text, with short stretches that lie between
+the first surge and the last dive. Lines that only tags made are no lines. Where no block of a page is that dense, the stretch with most text is taken. If the page marks an article, only lines in it carry weight, links
 count as well, and all its stretches are kept.
 """
 
@@ -78,9 +78,10 @@ class Lines:
 
     def end(self, article: bool, gap: int = 0) -> None:
         text = " ".join(html.unescape("".join(self.parts)).split())
-        self.texts.append(text)
-        self.weights.append(max(len(text) - self.linked, 0))
-        self.inside.append(article)
+        if text:
+            self.texts.append(text)
+            self.weights.append(max(len(text) - self.linked, 0))
+            self.inside.append(article)
         self.parts, self.linked = [], 0
         for _ in range(gap):
             self.texts.append("")
@@ -186,7 +187,7 @@ def page_lines(page: str) -> Lines:
             skip = len(open_tags)
             open_tags.append(tag)
         elif tag not in INLINE:
-            lines.end(bool(articles), GAP if tag in ARTICLE and not empty else 0)
+            lines.end(bool(articles), GAP if tag in ARTICLE and not empty else tag == "hr")
             links = 0
             if not empty:
                 articles += tag in ARTICLE
@@ -214,7 +215,8 @@ def main_text(page: str) -> str:
         elif not value and start is not None:
             stretches.append((start, i, max(sums[start:i])))  # the dive
             start = None
-    chosen = stretches if marked else [s for s in stretches if s[2] >= SURGE]
+    surged = [i for i, s in enumerate(stretches) if s[2] >= SURGE]
+    chosen = stretches if marked else stretches[surged[0] : surged[-1] + 1] if surged else []
     if not chosen and stretches:
         chosen = [max(stretches, key=lambda s: (sum(weights[s[0] : s[1]]), -s[0]))]
     return "\n".join(lines.texts[i] for low, high, _ in chosen for i in range(low, high) if lines.texts[i] and (lines.inside[i] or not marked))

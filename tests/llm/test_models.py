@@ -165,6 +165,18 @@ def test_spelled_runs_take_characters_not_bytes(word):
     assert codes_of(word) in units_of("so ein " + " ".join(letters) + " hier")
 
 
+LONG_TEXT = "Here the main text of the page goes on for quite a while, so that its window sums surge far over the mark."
+
+
+def test_short_blocks_in_wrappers_are_kept():
+    assert html_text.main_text(f"<div><h1>Title</h1></div><div><p>{LONG_TEXT}</p></div>") == f"Title\n{LONG_TEXT}"
+    rows = "".join(f"<tr><td><p>{c}</p></td><td><div>{c}{c}</div></td></tr>" for c in "abc")
+    page = f"<div><p>{LONG_TEXT}</p></div><div><ul><li><p>one</p></li><li><p>two</p></li></ul></div><table>{rows}</table><div><p>{LONG_TEXT}</p></div>"
+    assert html_text.main_text(page).split("\n") == [LONG_TEXT, "one", "two", "a", "aa", "b", "bb", "c", "cc", LONG_TEXT]
+    # a short stretch between the first surge and the last dive
+    assert html_text.main_text(f"<p>{LONG_TEXT}</p><hr><hr><hr><p>short</p><hr><hr><hr><p>{LONG_TEXT}</p>") == f"{LONG_TEXT}\nshort\n{LONG_TEXT}"
+
+
 @pytest.mark.parametrize(
     ("page", "text"),
     [
