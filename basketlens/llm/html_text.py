@@ -5,8 +5,9 @@ elements that are never article text (menus, forms, adverts and the like, by tag
 class, id or role) leave an empty line. Of every line its text length without link text is taken, and the
 lengths of ``WIDTH`` lines at a time are summed. Text surges where a sum rises over ``SURGE``; it dives where
 the sum falls to nothing. The lines between such points are the main text, with short stretches that lie between
-the first surge and the last dive. Lines that only tags made are no lines. Where no block of a page is that dense, the stretch with most text is taken. If the page marks an article, only lines in it carry weight, links
-count as well, and all its stretches are kept.
+the first surge and the last dive. Lines that only tags made are no lines. Where no block of a page is that dense,
+the stretch with most text is taken. In a marked article (``article``, ``main``) links count as text and every
+line weighs ``MARKED`` times as much, so that less of it makes a surge; sums decide there as elsewhere.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WIDTH, SURGE = 3, 80
+WIDTH, SURGE, MARKED = 3, 80, 2
 
 #: Fixed by the markup language: elements whose content is never text of the page ...
 RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "canvas", "object", "title", "xmp", "noembed", "noframes"}
@@ -67,12 +68,11 @@ GAP = WIDTH + 1
 
 
 class Lines:
-    """Lines of a page, each with its text, the length of its text outside links, and whether it is in an article."""
+    """Lines of a page, each with its text and its weight: the length of its text outside links, more in an article."""
 
     def __init__(self) -> None:
         self.texts: list[str] = []
         self.weights: list[int] = []
-        self.inside: list[bool] = []
         self.parts: list[str] = []
         self.linked = 0
 
@@ -80,20 +80,20 @@ class Lines:
         text = " ".join(html.unescape("".join(self.parts)).split())
         if text:
             self.texts.append(text)
-            self.weights.append(max(len(text) - self.linked, 0))
-            self.inside.append(article)
+            self.weights.append(MARKED * len(text) if article else max(len(text) - self.linked, 0))
         self.parts, self.linked = [], 0
         for _ in range(gap):
             self.texts.append("")
             self.weights.append(0)
-            self.inside.append(article)
 
 
 def is_around(tag: str, attributes: str, articles: int) -> bool:
     if tag in AROUND:
         return not (tag == "header" and articles)
-    if tag in ("html", "body") or tag in ARTICLE and not articles or not attributes:
+    if tag in ("html", "body") or not attributes:
         return False
+    if tag == "main":  # by definition the page's main content, whatever its names
+        return bool(HIDDEN.search(attributes))
     words = {w for groups in NAMED.findall(attributes) for w in WORD.findall("".join(groups).lower())}
     return bool(words & NAMES) or bool(HIDDEN.search(attributes)) and tag not in INLINE
 
@@ -201,8 +201,7 @@ def page_lines(page: str) -> Lines:
 def main_text(page: str) -> str:
     """The main text of one page, blocks joined by line ends."""
     lines = page_lines(page)
-    marked = any(text for text, inside in zip(lines.texts, lines.inside, strict=True) if inside)
-    weights = [len(t) if inside else 0 for t, inside in zip(lines.texts, lines.inside, strict=True)] if marked else lines.weights
+    weights = lines.weights
     sums, total = [], sum(weights[: WIDTH - 1])
     for i in range(len(weights)):  # text of the lines i to i + WIDTH - 1
         total += weights[i + WIDTH - 1] if i + WIDTH - 1 < len(weights) else 0
@@ -216,10 +215,10 @@ def main_text(page: str) -> str:
             stretches.append((start, i, max(sums[start:i])))  # the dive
             start = None
     surged = [i for i, s in enumerate(stretches) if s[2] >= SURGE]
-    chosen = stretches if marked else stretches[surged[0] : surged[-1] + 1] if surged else []
+    chosen = stretches[surged[0] : surged[-1] + 1] if surged else []
     if not chosen and stretches:
         chosen = [max(stretches, key=lambda s: (sum(weights[s[0] : s[1]]), -s[0]))]
-    return "\n".join(lines.texts[i] for low, high, _ in chosen for i in range(low, high) if lines.texts[i] and (lines.inside[i] or not marked))
+    return "\n".join(lines.texts[i] for low, high, _ in chosen for i in range(low, high) if lines.texts[i])
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html_column: str = "html") -> DataFrame:

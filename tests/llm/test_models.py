@@ -168,6 +168,13 @@ def test_spelled_runs_take_characters_not_bytes(word):
 LONG_TEXT = "Here the main text of the page goes on for quite a while, so that its window sums surge far over the mark."
 
 
+def test_sums_decide_on_pages_with_an_article():
+    page = f"<div><p>{LONG_TEXT}</p><p>{LONG_TEXT}</p></div><article><a href=x>Teaser</a></article>"
+    assert html_text.main_text(page) == f"{LONG_TEXT}\n{LONG_TEXT}"
+    assert html_text.main_text(f"<p>{LONG_TEXT}</p><article class='comment'>{'nice! ' * 40}</article>") == LONG_TEXT
+    assert html_text.main_text(f"<article><h1>T</h1>{'<p>short</p>' * 9}</article>") == "\n".join(["T"] + ["short"] * 9)
+
+
 def test_short_blocks_in_wrappers_are_kept():
     assert html_text.main_text(f"<div><h1>Title</h1></div><div><p>{LONG_TEXT}</p></div>") == f"Title\n{LONG_TEXT}"
     rows = "".join(f"<tr><td><p>{c}</p></td><td><div>{c}{c}</div></td></tr>" for c in "abc")
