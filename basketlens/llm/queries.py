@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import decontaminate, exact_dedup, html_text, language_id, near_dedup, packing, sharding, suffix_dedup, toxicity, warc
+from basketlens.llm import decontaminate, exact_dedup, html_text, language_id, near_dedup, packing, prefix_trie, sharding, suffix_dedup, toxicity, warc
 from basketlens.llm.columns import shared_folder
 
 
@@ -75,6 +75,11 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns, members = prefix_trie.with_shared_starts(prefix_trie.marked_turns(_read(spark, folder, "conversations")))
+    return prefix_trie.trie(turns, members)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in [
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_packing,
         op9_exact_dedup,
         op10_language_id,
+        op11_prefix_trie,
     ]
 }
 
@@ -95,4 +101,5 @@ SQL: dict[str, str] = {
     "op2_warc": warc.SQL,
     "op7_decontaminate": decontaminate.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
+    "op11_prefix_trie": prefix_trie.SQL,
 }
