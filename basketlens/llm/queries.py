@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import decontaminate, exact_dedup, html_text, language_id, near_dedup, packing, prefix_trie, sharding, suffix_dedup, toxicity, warc
+from basketlens.llm import decontaminate, exact_dedup, html_text, language_id, near_dedup, packing, prefix_trie, repair, sharding, suffix_dedup, toxicity, warc
 from basketlens.llm.columns import shared_folder
 
 
@@ -80,6 +80,10 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.trie(turns, members)
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.repair(repair.damaged(_read(spark, folder, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in [
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_exact_dedup,
         op10_language_id,
         op11_prefix_trie,
+        op12_conversation_repair,
     ]
 }
 
