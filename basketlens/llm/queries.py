@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlens.llm import decontaminate, exact_dedup, html_text, language_id, near_dedup, packing, prefix_trie, repair, sharding, suffix_dedup, toxicity, warc
+from basketlens.llm import curve_packing, decontaminate, exact_dedup, html_text, language_id, near_dedup, packing, prefix_trie, repair, sharding, suffix_dedup, toxicity, warc
 from basketlens.llm.columns import shared_folder
 
 
@@ -84,6 +84,12 @@ def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.repair(repair.damaged(_read(spark, folder, "conversations")))
 
 
+def op13_curve_packing(spark: SparkSession, folder: str) -> DataFrame:
+    special = packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = _read(spark, folder, "documents")
+    return curve_packing.pack_along_curve(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, special=special)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in [
@@ -99,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_language_id,
         op11_prefix_trie,
         op12_conversation_repair,
+        op13_curve_packing,
     ]
 }
 

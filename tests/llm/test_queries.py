@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_one_query_per_operator_and_the_pipeline():
     names = [n.split("_")[0] for n in queries.QUERIES]
-    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{n}" for n in range(1, 11)]
+    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{n}" for n in range(1, 14)]
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert queries.SQL.keys() <= queries.QUERIES.keys()
 
