@@ -1,7 +1,7 @@
 """Packing along a space-filling curve: neighbours in a sequence are neighbours in content.
 
-1. One pass tokenizes whole texts. A document's tokens are hashed into a vector of ``BUCKETS`` damped counts,
-   which is projected to ``AXES`` numbers by fixed random directions; the place of that point on a Hilbert
+1. One pass tokenizes whole texts. A document's tokens are hashed into a vector of ``BUCKETS`` places,
+   each held or not, which is projected to ``AXES`` numbers by fixed random directions; the place of that point on a Hilbert
    curve is the document's key. Documents with much the same tokens get keys that are near each other.
 2. Full runs of ``capacity`` tokens from a document's start are sequences of their own. What is left over, less
    than a sequence, goes onto the curve: the narrow rows (key, tokens left) are range-sorted and summed up
@@ -28,7 +28,7 @@ from basketlens.llm.tables import keep
 
 CAPACITY, END_ID = 1024, 0
 BUCKETS, AXES, BITS = 4096, 4, 15
-#: Projections of unit vectors lie in -REACH to REACH, but for one in some ten thousand, which go to the border.
+#: Projections lie in -REACH to REACH, but for one in some ten thousand, which go to the border.
 REACH = 4.0
 #: Texts whose tokens a task remembers, for copies.
 REMEMBERED = 20_000
@@ -41,13 +41,21 @@ def directions() -> np.ndarray:
     return np.sqrt(-2 * np.log(1 - one)) * np.cos(2 * np.pi * two)
 
 
-def point(ids: np.ndarray, axes: np.ndarray) -> np.ndarray:
-    """The projection of a document's token counts, as whole numbers of ``BITS`` bits."""
-    counts = np.bincount((mix(ids.astype(np.uint64)) % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
-    held = np.flatnonzero(counts)
-    damped = np.log1p(counts[held])
-    placed = (damped / np.sqrt((damped**2).sum())) @ axes[held]
-    return np.clip((placed + REACH) / (2 * REACH) * 2**BITS, 0, 2**BITS - 1).astype(np.int64)
+def buckets_of(ids: int) -> np.ndarray:
+    """The bucket of each token id below ``ids``."""
+    return (mix(np.arange(ids, dtype=np.uint64)) % np.uint64(BUCKETS)).astype(np.int64)
+
+
+def point(ids: np.ndarray, buckets: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """The projection of a document's hashed tokens, each counted once, to ``AXES`` numbers of unit spread."""
+    held = np.zeros(BUCKETS, bool)
+    held[buckets[ids]] = True
+    return axes[held].sum(axis=0) / np.sqrt(held.sum())
+
+
+def on_grid(points: np.ndarray) -> np.ndarray:
+    """Points as whole numbers of ``BITS`` bits."""
+    return np.clip((points + REACH) / (2 * REACH) * 2**BITS, 0, 2**BITS - 1).astype(np.int64)
 
 
 def hilbert(points: np.ndarray) -> np.ndarray:
@@ -92,7 +100,7 @@ def tokenized(docs: DataFrame, ranks_path: str, pattern: str, capacity: int, end
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         encoding = tiktoken.Encoding("curve", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
-        axes = directions()
+        axes, buckets = directions(), buckets_of(max([end_id, *ranks.values(), *special.values()]) + 1)
         known: dict[bytes, tuple] = {}
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -106,14 +114,14 @@ def tokenized(docs: DataFrame, ranks_path: str, pattern: str, capacity: int, end
                     full = len(ids) // capacity
                     crcs = [zlib.crc32(ids[i * capacity : (i + 1) * capacity].tobytes()) for i in range(full)]
                     rest = ids[full * capacity :]
-                    found = (point(ids, axes), len(ids), crcs, rest.tobytes())
+                    found = (point(ids, buckets, axes), len(ids), crcs, rest.tobytes())
                     if len(known) >= REMEMBERED:
                         known.clear()
                     known[mark] = found
                 out.append(found)
             size = len(out)
             lengths = np.array([f[1] for f in out], np.int64)
-            places = hilbert(np.array([f[0] for f in out], np.int64).reshape(size, AXES))
+            places = hilbert(on_grid(np.array([f[0] for f in out], np.float64).reshape(size, AXES)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.arange(row, row + size)), pa.array(places), pa.array(lengths), pa.array([f[2] for f in out], pa.list_(pa.int64())),
                  pa.array(lengths % capacity), pa.array(lengths // capacity), pa.array([f[3] for f in out], pa.binary())],
