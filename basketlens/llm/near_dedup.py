@@ -5,15 +5,18 @@
   bin copies the value of the first full bin in a fixed random order of its own (optimal densification),
   so that small sets collide with the same probability as large ones.
 * ``bands`` bands of ``rows`` bins each are the bucket keys. At a similarity of 0.85, 32 bands of 8 miss
-  a pair with probability 4e-5; the pairs that they find are confirmed on the full sets.
-* One bit of each bin makes a bit sketch. Pairs whose sketches differ in more bits than a pair at the
-  similarity does with a probability of 3e-5 (four standard deviations) are not worth a comparison of full sets.
+  a pair with probability 4e-5, and at 0.8, 64 bands of 8 with 8e-6; the pairs that they find are confirmed on the full sets.
+* One bit of each bin makes a bit sketch. Pairs whose sketches differ in more bits than the similarity explains
+  by six standard deviations are not worth a comparison of full sets. Small sets fill few bins and the
+  others copy these, so the deviation goes by the bins that a set fills (``most_different``).
 * Documents with equal sets are folded to one row first.
-* In a bucket, every member is paired with a centre only. A bucket whose members are not all in one
-  component after that gets more centres, ``GROWTH`` times as many in each round, until each of its pairs has
-  been compared or lies in one component. No pair is compared twice, and after the first round a pair is made
-  only in the first bucket that it shares: while its ends lie in two components, that bucket stays open. So no link that a bucket holds is lost, and pairs inside a group
-  that is already connected are never made.
+* In a bucket, every member is paired with a centre only. A first round with the first ``OPENING`` bands
+  connects large groups, so that most of their buckets in the other bands hold one component and drop out
+  before they are joined. A bucket whose members are not all in one component gets more centres,
+  ``GROWTH`` times as many in each round, until each of its pairs has been compared or lies in one component. No pair
+  is compared twice. So no link that a bucket holds is lost, and pairs inside a group that is already
+  connected are never made.
+* Tables of the rounds are deleted as soon as nothing reads them.
 """
 
 from __future__ import annotations
@@ -24,13 +27,13 @@ from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketlens.llm.bytes import SpanHasher, binary_column, blocks, byte_class, constants, mix, word_spans
 from basketlens.llm.components import components
-from basketlens.llm.tables import keep
+from basketlens.llm.tables import discard, keep
 
 #: Fixed by the definition of a word: neither a blank nor the control characters 9 to 13.
 IS_WORD = ~byte_class((0x20, 0x20), (0x09, 0x0D))
@@ -39,6 +42,8 @@ KEPT_BYTES = 6
 #: Bins of a signature; the bands use the first ones, the bit sketch all of them. A power of two.
 BINS = 512
 SKETCH = [f"s{i}" for i in range(BINS // 64)]
+#: Bands of the first round.
+OPENING = 8
 #: Times as many centres a bucket gets in each further round.
 GROWTH = 8
 #: Below so many full bins, all of them are ranked for each empty bin; above, the order is walked.
@@ -101,10 +106,16 @@ def signature(hashes: np.ndarray, orders: tuple[np.ndarray, np.ndarray]) -> np.n
     return values
 
 
-def most_different(least: tuple[int, int]) -> int:
-    """Bits in which the sketches of two sets at the similarity may differ, with four standard deviations."""
+def most_different(least: tuple[int, int], n: Column) -> Column:
+    """Bits in which the sketches of two sets at the similarity may differ, with six standard deviations.
+
+    ``n`` is the size of the smaller set. It fills about BINS (1 - exp(-n / BINS)) bins; an empty bin copies a
+    full one, so a difference counts as often as its bin is copied, and that varies the more the fewer are full.
+    """
     chance = (1 - least[0] / least[1]) / 2
-    return int(BINS * chance + 4 * (BINS * chance * (1 - chance)) ** 0.5)
+    full = F.lit(float(BINS)) * (1 - F.exp(-n / BINS))
+    spread = BINS * F.sqrt(chance * (1 - chance) * (2 - full / BINS) / full)
+    return BINS * chance + 6 * spread
 
 
 def sketch(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
@@ -185,32 +196,33 @@ def confirm(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFr
     return met.mapInArrow(run, "a bigint, b bigint")
 
 
+def _unsettled(groups: DataFrame, labels: DataFrame, first: int, bands: int) -> DataFrame:
+    """Members (bucket, id, component) of the buckets of some bands that hold more than one component."""
+    entries = groups.select(F.explode(F.slice("keys", first, bands)).alias("bucket"), F.col("head").alias("id")).join(labels, "id")
+    return _mixed(entries)
+
+
+def _mixed(members: DataFrame) -> DataFrame:
+    mixed = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
+    return members.join(mixed, "bucket")
+
+
 def _candidates(members: DataFrame, slices: int, least: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
     """Pairs of this round, and the centres (bucket, id) that need not be paired again."""
     share, whole = least
-    keyed = ["keys"] if "keys" in members.columns else []
-    carried = F.struct("id", "n", "component", *SKETCH, *keyed)
-    centres = members.groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(slices)).alias("slice")).agg(F.min(carried).alias("centre"))
+    centres = members.groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(slices)).alias("slice")).agg(F.min(F.struct("id", "n", "component", *SKETCH)).alias("centre"))
     centres = centres.select("bucket", "centre")
     different = reduce(add, [F.bit_count(F.col(c).bitwiseXOR(F.col(f"centre.{c}"))) for c in SKETCH])
     met = members.join(centres, "bucket").where(
-        (different <= most_different(least))
-        & (F.col("component") != F.col("centre.component"))
+        (F.col("component") != F.col("centre.component"))
         & (F.col("n") * whole >= F.col("centre.n") * share)
         & (F.col("centre.n") * whole >= F.col("n") * share)
+        & (different <= most_different(least, F.least("n", "centre.n")))
     )
-    if keyed:  # a pair is made in the first bucket that it shares, not in each
-        met = met.where(F.element_at(F.array_intersect("keys", "centre.keys"), 1) == F.col("bucket"))
     pairs = met.select(F.least("id", "centre.id").alias("a"), F.greatest("id", "centre.id").alias("b")).distinct()
     return pairs, centres.select("bucket", F.col("centre.id").alias("id"))
 
 
-def _unsettled(members: DataFrame) -> DataFrame:
-    """Members of the buckets that still hold more than one component."""
-    mixed = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-    return members.join(mixed, "bucket")
-
-
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, least: tuple[int, int] = (85, 100), bands: int = 32, rows: int = 8
 ) -> DataFrame:
@@ -223,44 +235,48 @@ def near_duplicates(
     component and is kept. Extra columns are ignored. ``bands * rows`` may be at most ``BINS``.
     """
     rows_in = docs.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("binary").alias("text"))
-    sketched = keep(sketch(rows_in, words, bands, rows))
-    known = sketched.where("n > 0 AND id IS NOT NULL")
-    groups = keep(known.groupBy("n", "mark1", "mark2").agg(F.min("id").alias("head"), F.first("keys").alias("keys"), *(F.first(c).alias(c) for c in SKETCH)))
-
-    entries = groups.select(F.explode("keys").alias("bucket"), F.col("head").alias("id")).distinct()
-    shared = entries.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("bucket")
-    members = keep(entries.join(shared, "bucket"))
-    heads = members.select("id").distinct()
-    sets = keep(
-        shingle_sets(rows_in.join(heads, "id", "left_semi"), words)
-        .groupBy("id").agg(F.first("shingles").alias("shingles"))
-    )
-    labels = keep(heads.withColumn("component", F.col("id")))
+    sketched = keep(sketch(rows_in, words, bands, rows), "sketched")
+    plain = keep(sketched.select("id", "n", "mark1", "mark2"), "plain")
+    known = plain.where("n > 0 AND id IS NOT NULL")
+    groups = sketched.where("n > 0 AND id IS NOT NULL").groupBy("n", "mark1", "mark2")
+    groups = keep(groups.agg(F.min("id").alias("head"), F.first("keys").alias("keys"), *(F.first(c).alias(c) for c in SKETCH)), "groups")
+    discard(sketched)
+
+    labels = keep(groups.select(F.col("head").alias("id"), F.col("head").alias("component")).distinct(), "labels")
     sizes = groups.select(F.col("head").alias("id"), "n", *SKETCH)
-    slices, waiting, tested = 1, members.join(sizes, "id").join(labels, "id"), None
-    while True:
-        waiting = keep(_unsettled(waiting))
-        if waiting.isEmpty():
-            break
-        pairs, centres = _candidates(waiting, slices, least)
+    sets = tested = None
+    slices, opening = 1, OPENING < bands
+    waiting = keep(_unsettled(groups, labels, 1, OPENING if opening else bands), "waiting")
+    while opening or not waiting.isEmpty():
+        heads = waiting.select("id").distinct()
+        if sets is None or not opening and slices == 1:  # sets of those that can still be paired
+            missing = heads if sets is None else heads.join(sets.select("id"), "id", "left_anti")
+            found = shingle_sets(rows_in.join(missing, "id", "left_semi"), words).groupBy("id").agg(F.first("shingles").alias("shingles"))
+            found = keep(found, "sets")
+            sets = found if sets is None else sets.unionByName(found)
+        pairs, centres = _candidates(waiting.join(sizes, "id"), slices, least)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = keep(pairs)
+        pairs = keep(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        links = keep(confirm(pairs, sets, least))
-        waiting = waiting.join(centres, ["bucket", "id"], "left_anti")
-        if slices == 1:  # few are left: they carry their bucket keys from here on
-            waiting = waiting.join(groups.select(F.col("head").alias("id"), "keys"), "id")
+        links = keep(confirm(pairs, sets, least), "links")
+        old = labels
         if not links.isEmpty():
             named = links
             for end in ("a", "b"):
                 named = named.join(labels.select(F.col("id").alias(end), F.col("component").alias(f"{end}_in")), end)
             joined = components(named.select(F.col("a_in").alias("a"), F.col("b_in").alias("b")))
             labels = keep(
-                labels.join(joined, labels["component"] == joined["node"], "left").select("id", F.coalesce(joined["component"], labels["component"]).alias("component"))
+                labels.join(joined, labels["component"] == joined["node"], "left").select("id", F.coalesce(joined["component"], labels["component"]).alias("component")), "labels"
             )
-            waiting = waiting.drop("component").join(labels, "id")
-        slices *= GROWTH
+            discard(joined)
+        spent = waiting
+        if opening:
+            waiting, opening = keep(_unsettled(groups, labels, 1, bands), "waiting"), False
+        else:
+            waiting = waiting.drop("component").join(centres, ["bucket", "id"], "left_anti").join(labels, "id")
+            waiting, slices = keep(_mixed(waiting), "waiting"), slices * GROWTH
+        discard(spent, links, *([old] if labels is not old else []))
 
     # keys that stand for several texts connect the groups that they are in
     inside = known.select("n", "mark1", "mark2", "id").join(groups.select("n", "mark1", "mark2", "head"), ["n", "mark1", "mark2"])
@@ -272,7 +288,7 @@ def near_duplicates(
         merged = components(inside.join(several, "id").select("a", F.col("component").alias("b")))
         inside = inside.join(merged.withColumnRenamed("component", "whole"), inside["component"] == merged["node"], "left")
         inside = inside.select("id", F.coalesce("whole", "component").alias("component")).distinct()
-    final = sketched.join(inside, "id", "left")
+    final = plain.join(inside, "id", "left")
     component = F.coalesce("component", "id")
     return final.select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept")

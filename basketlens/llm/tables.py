@@ -16,4 +16,14 @@ def keep(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = shared_folder(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.kept_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``keep`` that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.kept_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -22,6 +22,40 @@ def test_components_of_a_chain_and_a_star(spark):
     assert components.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_components_of_long_chains_take_few_rounds(spark, monkeypatch):
+    """A chain in the order of its nodes, one in mixed order, and a comb."""
+    rounds, real = [], components.keep
+    monkeypatch.setattr(components, "keep", lambda df, name="table": rounds.append(name) or real(df, name))
+    mixed = list(range(1000, 1300))
+    random.Random(2).shuffle(mixed)
+    links = [(i, i + 1) for i in range(300)] + list(zip(mixed[:-1], mixed[1:], strict=True)) + [(5000 + i, 5001 + i) for i in range(50)] + [(5000 + i, 9000 - i) for i in range(50)]
+    found = {r["node"]: r["component"] for r in components.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert [found[i] for i in range(301)] == [0] * 301
+    assert {found[i] for i in mixed} == {1000}
+    assert {found[i] for i in range(5000, 5051)} == {5000} and found[8980] == 5000
+    assert rounds.count("links") - 1 <= 2 * np.log2(len(found))
+
+
+@pytest.mark.parametrize("share", [80, 85])
+def test_sketches_lose_no_pair_at_the_similarity(spark, share):
+    """Pairs at exactly the similarity, by the size of their union: none differs in more bits than allowed."""
+    from pyspark.sql import functions as F
+
+    rng, orders = np.random.default_rng(7), near_dedup.bin_orders(near_dedup.BINS)
+    rows = []
+    for union, pairs in ((20, 1500), (60, 1000), (100, 1000), (400, 600), (3000, 200)):
+        common = union * share // 100
+        for _ in range(pairs):
+            hashes = rng.integers(0, 2**63, union, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+            half = common + (union - common) // 2
+            one, two = hashes[:half], np.concatenate([hashes[:common], hashes[half:]])
+            bits = [near_dedup.mix(near_dedup.signature(np.sort(x), orders)) & np.uint64(1) for x in (one, two)]
+            rows.append((union, int((bits[0] != bits[1]).sum()), min(len(one), len(two))))
+    table = spark.createDataFrame(rows, "size bigint, different bigint, n bigint")
+    lost = table.where(F.col("different") > near_dedup.most_different((share, 100), F.col("n"))).groupBy("size").count().collect()
+    assert lost == []
+
+
 def test_signature_agrees_as_often_as_the_sets_do():
     orders = near_dedup.bin_orders(near_dedup.BINS)
     rng = np.random.default_rng(1)
