@@ -1,48 +1,22 @@
 """Past orders nearest to new baskets, by cosine of their item sets.
 
 The cosine of two sets is overlap / sqrt(size * size). Overlaps come from a join on the item, whose
-cost is the number of orders per item, squared. A *hot* item (one in very many orders) would
-dominate that, so hot items never drive the join:
-
-1. Pairs that share a cold item are found by the join on cold items. Their overlap on hot items is
-   the intersection of two short arrays (the *patterns*: the hot items of an order).
-2. Orders that share only hot items with a basket differ, for that basket, only by pattern and
-   size. They are counted as *groups* (pattern, size), not listed. A basket looks at groups only if
-   they could still reach its k best, which a bound on the cosine tells.
-3. Pairs known from step 1 are taken out of the groups again, so that the result is exact.
+cost is the number of orders per item, squared. Where an item is *hot* (in very many orders), ``set_search``
+finds the same neighbours: it folds equal orders and asks common items only where a neighbour can be.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from basketlens.functions.columns import stable
-from basketlens.operators.skew import HOT_ROWS, hot_keys, join_in_slices, numbered_in_order
+from basketlens.functions.metrics import cosine_of_sets
+from basketlens.operators.set_search import NearestSets, items_of_neighbours, nearest_sets
+from basketlens.operators.skew import HOT_ROWS, hot_keys, join_in_slices
 from basketlens.session import cut_lineage
 
-GROUP = ["g_fold", "g_pattern", "g_size"]
-
-
-@dataclass(frozen=True)
-class Nearest:
-    """Neighbours of each basket with their place in its ranking.
-
-    ``better`` is the number of orders strictly nearer, ``upto`` that number with all ties.
-    """
-
-    singles: DataFrame  # basket_id, order_id, sim, better, upto
-    groups: DataFrame | None = None  # basket_id, group columns, sim, better, upto
-    known: DataFrame | None = None  # basket_id, order_id, group columns: members listed in singles
-    members: DataFrame | None = None  # order_id, group columns
-
-
-def cosine_of_sets(overlap: Column, size_a: Column, size_b: Column) -> Column:
-    return overlap / F.sqrt((size_a * size_b).cast("double"))
-
 
 def _sized(df: DataFrame, row_id: str) -> DataFrame:
     return df.join(df.groupBy(row_id).agg(F.count("*").alias("size")), row_id)
@@ -90,12 +64,6 @@ def _ranked_singles(sims: DataFrame, k: int, ties: bool) -> DataFrame:
     return kept
 
 
-def _patterns(rows: DataFrame, row_id: str, hot: DataFrame) -> DataFrame:
-    """Per order: its size, fold and sorted hot items. An array holds at most the hot items."""
-    marked = rows.join(F.broadcast(hot.withColumn("h", F.col("item"))), "item", "left")
-    return marked.groupBy(row_id, "size", "fold").agg(F.sort_array(F.collect_set("h")).alias("pattern"))
-
-
 def nearest_orders(
     new: DataFrame,
     past: DataFrame,
@@ -104,7 +72,7 @@ def nearest_orders(
     ties: bool = True,
     same_orders: bool = False,
     hot_rows: int = HOT_ROWS,
-) -> Nearest:
+) -> DataFrame | NearestSets:
     """The k past orders nearest to each basket, with ties at the k-th place (``ties``) or cut by
     order id.
 
@@ -114,159 +82,19 @@ def nearest_orders(
     """
     if "fold" not in past.columns:
         new, past = new.withColumn("fold", F.lit(1)), past.withColumn("fold", F.lit(0))
+    if hot_keys(past.select("item"), ["item"], hot_rows) is not None:
+        return nearest_sets(new, past, k, same_orders)
     # read several times below: the narrow tables are written once
     past = cut_lineage(_sized(past, "order_id"))
     new = past.withColumnRenamed("order_id", "basket_id") if same_orders else cut_lineage(_sized(new, "basket_id"))
-    new_items, past_items = new.select("item"), past.select("item")
-    hot = hot_keys(past_items, ["item"], hot_rows)
-    if hot is None:
-        pairs = _pairs(new, past, same_orders, new_items, past_items)
-        sims = pairs.select("basket_id", "order_id", cosine_of_sets(F.col("overlap"), F.col("b_size"), F.col("o_size")).alias("sim"))
-        return Nearest(_ranked_singles(sims, k, ties).drop("rank"))
-    return _nearest_with_hot_items(new, past, k, ties, same_orders, hot)
-
-
-def _nearest_with_hot_items(
-    new: DataFrame, past: DataFrame, k: int, ties: bool, same_orders: bool, hot: DataFrame
-) -> Nearest:
-    known_hot = F.broadcast(hot)
-    cold_past = past.join(known_hot, "item", "left_anti")
-    cold_new = new.join(known_hot, "item", "left_anti")
-    orders = cut_lineage(_patterns(past, "order_id", hot))
-    baskets = cut_lineage(_patterns(new, "basket_id", hot))
-    members = orders.filter(F.size("pattern") > 0).select(
-        "order_id", F.col("fold").alias("g_fold"), F.col("pattern").alias("g_pattern"), F.col("size").alias("g_size")
-    )
+    pairs = _pairs(new, past, same_orders, new.select("item"), past.select("item"))
+    sims = pairs.select("basket_id", "order_id", cosine_of_sets(F.col("overlap"), F.col("b_size"), F.col("o_size")).alias("sim"))
+    return _ranked_singles(sims, k, ties).drop("rank")
 
-    # step 1: pairs with a common cold item, overlap completed by the hot items
-    b_pattern = baskets.select("basket_id", F.col("pattern").alias("b_pattern"))
-    o_pattern = orders.select("order_id", F.col("pattern").alias("g_pattern"), F.col("fold").alias("g_fold"))
-    common_hot = F.size(F.array_intersect("b_pattern", "g_pattern"))
-    sims = cut_lineage(
-        _pairs(cold_new, cold_past, same_orders, cold_new.select("item"), cold_past.select("item"))
-        .join(b_pattern, "basket_id")
-        .join(o_pattern, "order_id")
-        .withColumn("sim", cosine_of_sets(F.col("overlap") + common_hot, F.col("b_size"), F.col("o_size")))
-        .select("basket_id", "order_id", "sim", "g_fold", "g_pattern", F.col("o_size").alias("g_size"))
-    )
-    singles = _ranked_singles(sims, k, ties=True).select("basket_id", "order_id", "sim")
 
-    # step 2: baskets for which an order sharing only hot items may be near enough. Such an order
-    # shares at most all h hot items and is at least as large as the overlap: cosine <= sqrt(h / size)
-    reached = singles.groupBy("basket_id").agg(F.count("*").alias("n"), F.min("sim").alias("kth"))
-    listed = sims.groupBy("basket_id").agg(F.count("*").alias("n_known"))
-    bound = F.sqrt(F.size("pattern") / F.col("size"))
-    open_baskets = cut_lineage(
-        baskets.filter(F.size("pattern") > 0)
-        .join(reached, "basket_id", "left")
-        .filter((F.coalesce("n", F.lit(0)) < k) | (bound >= F.col("kth") - 1e-9))
-        .join(listed, "basket_id", "left")
-        .select("basket_id", "fold", "pattern", "size", (F.coalesce("n_known", F.lit(0)) + int(same_orders)).alias("n_known"))
-    )
-    profiles = open_baskets.select("fold", "pattern", "size").distinct()
-    groups = members.groupBy(*GROUP).agg(F.count("*").alias("n_members"))
-    met = (
-        profiles.withColumn("h", F.explode("pattern"))
-        .join(groups.withColumn("h", F.explode("g_pattern")), "h")
-    )
-    if not same_orders:
-        met = met.filter("fold <> g_fold")
-    by_profile = W.partitionBy("fold", "pattern", "size").orderBy(F.desc("sim")).rangeBetween(W.unboundedPreceding, 0)
-    tied = W.partitionBy("fold", "pattern", "size", "sim")
-    near = (
-        met.groupBy("fold", "pattern", "size", *GROUP, "n_members")
-        .agg(F.count("*").alias("overlap"))
-        .withColumn("sim", cosine_of_sets(F.col("overlap"), F.col("size"), F.col("g_size")))
-        .withColumn("nearer", F.sum("n_members").over(by_profile) - F.sum("n_members").over(tied))
-    )
-    # n_known members at most are taken out of the nearer groups, so the others stay nearer
-    possible = open_baskets.join(near, ["fold", "pattern", "size"]).filter(F.col("nearer") - F.col("n_known") < k)
-
-    # step 3: members already listed one by one, and the basket itself, leave their group
-    known = sims.select("basket_id", "order_id", *GROUP).filter(F.size("g_pattern") > 0)
-    if same_orders:
-        own = members.select(F.col("order_id").alias("basket_id"), "order_id", *GROUP)
-        known = known.unionByName(own)
-    known = known.join(open_baskets.select("basket_id"), "basket_id", "left_semi")
-    taken = known.groupBy("basket_id", *GROUP).agg(F.count("*").alias("n_taken"))
-    rest = (
-        possible.join(taken, ["basket_id", *GROUP], "left")
-        .withColumn("weight", F.col("n_members") - F.coalesce("n_taken", F.lit(0)))
-        .filter("weight > 0")
-        .select("basket_id", *GROUP, "sim", "weight")
-    )
-
-    nothing = {c: F.lit(None).cast(members.schema[c].dataType) for c in GROUP}
-    stacked = singles.withColumn("weight", F.lit(1).cast("bigint")).withColumns(nothing).unionByName(
-        rest.withColumn("order_id", F.lit(None).cast(members.schema["order_id"].dataType))
-    )
-    by_sim = W.partitionBy("basket_id").orderBy(F.desc("sim")).rangeBetween(W.unboundedPreceding, 0)
-    placed = stacked.withColumn("upto", F.sum("weight").over(by_sim)).withColumn(
-        "better", F.col("upto") - F.sum("weight").over(W.partitionBy("basket_id", "sim"))
-    )
-    placed = cut_lineage(placed.filter(F.col("better") < k))
-    return Nearest(
-        singles=placed.filter("g_size is null").select("basket_id", "order_id", "sim", "better", "upto"),
-        groups=placed.filter("g_size is not null").select("basket_id", *GROUP, "sim", "weight", "better", "upto"),
-        known=known,
-        members=members,
-    )
-
-
-def _from_singles(singles: DataFrame, past: DataFrame) -> DataFrame:
-    return singles.join(past.select("order_id", "item"), "order_id").select("basket_id", "item", "sim", F.lit(1).cast("bigint").alias("n"))
-
-
-def _from_groups(found: Nearest, groups: DataFrame, past: DataFrame) -> DataFrame:
-    """Items of whole groups, from item counts per group; known members count negative."""
-    contents = (
-        found.members.join(past.select("order_id", "item"), "order_id").groupBy(*GROUP, "item").agg(F.count("*").alias("n"))
-    )
-    chosen = groups.select("basket_id", *GROUP, "sim")
-    inside = chosen.join(contents, GROUP).select("basket_id", "item", "sim", "n")
-    listed = found.known.join(chosen, ["basket_id", *GROUP]).join(past.select("order_id", "item"), "order_id")
-    return inside.unionByName(listed.select("basket_id", "item", "sim", F.lit(-1).cast("bigint").alias("n")))
-
-
-def neighbour_items(found: Nearest, past: DataFrame, k: int, ties: bool) -> DataFrame:
+def neighbour_items(found: DataFrame | NearestSets, past: DataFrame, k: int, ties: bool) -> DataFrame:
     """(basket_id, item, n, support_sim): neighbours holding the item, and their summed cosine."""
-    if found.groups is None:
-        parts = _from_singles(found.singles, past)
-    elif ties:
-        parts = _from_singles(found.singles, past).unionByName(_from_groups(found, found.groups, past))
-    else:
-        whole = F.col("upto") <= k
-        cut = _cut_ties(found, k)
-        parts = (
-            _from_singles(found.singles.filter(whole), past)
-            .unionByName(_from_groups(found, found.groups.filter(whole), past))
-            .unionByName(_from_singles(cut, past))
-        )
-    # the same sum in the same order of sizes: terms of one similarity are counted, then multiplied
-    per_sim = parts.groupBy("basket_id", "item", "sim").agg(F.sum("n").alias("n")) if found.groups is not None else parts
-    return (
-        per_sim.groupBy("basket_id", "item")
-        .agg(F.sum("n").alias("n"), stable(F.sum(F.col("sim") * F.col("n"))).alias("support_sim"))
-        .filter("n > 0")
-    )
-
-
-def _cut_ties(found: Nearest, k: int) -> DataFrame:
-    """Neighbours at the similarity where the k-th place falls: the smallest order ids of them.
-
-    Only the first members of a group can be needed: k, and as many more as a basket may know
-    from its list already.
-    """
-    edge = (F.col("better") < k) & (F.col("upto") > k)
-    singles = found.singles.filter(edge).select("basket_id", "order_id", "sim", "better")
-    groups = found.groups.filter(edge).select("basket_id", *GROUP, "sim", "better")
-    most_known = found.known.groupBy("basket_id", *GROUP).count().agg(F.max("count")).first()[0] or 0
-    first = numbered_in_order(found.members, GROUP, [F.asc("order_id")], k + most_known, "place")
-    listed = (
-        groups.join(first, GROUP)
-        .join(found.known.select("basket_id", "order_id"), ["basket_id", "order_id"], "left_anti")
-        .select("basket_id", "order_id", "sim", "better")
-    )
-    by_id = W.partitionBy("basket_id").orderBy("order_id")
-    edge_rows = singles.unionByName(listed)
-    return edge_rows.withColumn("place", F.row_number().over(by_id)).filter("better + place <= " + str(k)).drop("better", "place")
+    if isinstance(found, NearestSets):
+        return items_of_neighbours(found, k, ties)
+    held = found.join(past.select("order_id", "item"), "order_id")
+    return held.groupBy("basket_id", "item").agg(F.count("*").alias("n"), stable(F.sum("sim")).alias("support_sim"))

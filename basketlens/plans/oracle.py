@@ -192,6 +192,8 @@ SQL["basket_recommend_unseen"] = _with(PART_BASKETS, RECOMMENDED) + """
 SELECT basket_id, item AS Recommendations, round(support_sim, 6) AS support_sim FROM scored s
 WHERE score > 0 AND NOT EXISTS (SELECT 1 FROM baskets b WHERE b.order_id = s.basket_id AND b.item = s.item)"""
 
+SQL["name_basket_recommend"] = SQL["basket_recommend_unseen"].replace(PART_BASKETS, NAME_BASKETS)
+
 NEW_AND_PAST = """
 dated AS (
   SELECT DISTINCT l_orderkey AS order_id, 'part ' || CAST(l_partkey AS VARCHAR) AS item, year(o_orderdate) AS y

@@ -15,6 +15,7 @@ from basketlens.plans import views as V
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+NAME_HOT_ROWS = 500
 RULE_SUPPORT = 0.003
 RULE_CONFIDENCE = 0.01
 PIVOT_ITEMS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
@@ -177,6 +178,12 @@ def basket_recommend_unseen(spark, folder):
     return rounded(recommend.recommend_unseen_of_orders(V.part_baskets(spark, folder)), 6, "support_sim")
 
 
+def name_basket_recommend(spark, folder):
+    """The same where few items are each in many orders, so that the search goes over sets of items."""
+    found = recommend.recommend_unseen_of_orders(V.name_baskets(spark, folder), hot_rows=NAME_HOT_ROWS)
+    return rounded(found, 6, "support_sim")
+
+
 def new_basket_scores(spark, folder):
     new, past = V.new_and_past(spark, folder)
     return rounded(recommend.score_items(new, past), 6, "score", "support_sim")
@@ -382,6 +389,7 @@ QUERIES: dict[str, Query] = {
     "appended_orders": appended_orders,
     "basket_recommend_all": basket_recommend_all,
     "basket_recommend_unseen": basket_recommend_unseen,
+    "name_basket_recommend": name_basket_recommend,
     "new_basket_scores": new_basket_scores,
     "new_basket_recommend": new_basket_recommend,
     "item_cosine": item_cosine,
