@@ -1,8 +1,10 @@
 """Main text of web pages by the distribution of text over line blocks.
 
 Markup is stripped first: scripts, styles and comments go, block tags end a line, inline tags vanish, and
-elements that are never article text (menus, forms, adverts and the like, by tag or by a word of their
-class, id or role) leave an empty line. Of every line its text length without link text is taken, and the
+elements that are never article text (menus, forms, adverts and the like, by tag or by their class, id or
+role) leave an empty line. A class that is such a name says more than one that only has such a word in it, and neither
+takes the article away: an element stays if the page has no other text to speak of, or, with a
+word only, if it holds two thirds of the page's text. Of every line its text length without link text is taken, and the
 lengths of ``WIDTH`` lines at a time are summed. Text surges where a sum rises over ``SURGE``; it dives where
 the sum falls to nothing. The lines between such points are the main text, with short stretches that lie between
 the first surge and the last dive. Lines that only tags made are no lines. Where no block of a page is that dense,
@@ -14,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -25,12 +28,12 @@ WIDTH, SURGE, MARKED = 3, 80, 2
 #: Fixed by the markup language: elements whose content is never text of the page ...
 RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "canvas", "object", "title", "xmp", "noembed", "noframes"}
 #: ... elements that surround an article ...
-AROUND = {"head", "nav", "header", "footer", "aside", "form", "button", "select", "menu", "dialog", "label", "fieldset"}
+AROUND = {"head", "nav", "header", "footer", "aside", "form", "button", "select", "menu", "dialog", "fieldset"}
 #: ... elements without content ...
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: ... and elements inside a line.
 INLINE = {
-    "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q",
+    "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q",
     "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
 }
 #: Words of a class, id or role that name what is not article text.
@@ -40,6 +43,8 @@ NAMES = {
     "promotion", "related", "replies", "respond", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar",
     "widget", "complementary", "contentinfo", "search", "dialog", "alert", "disclaimer", "login", "paywall", "recommended", "recommendations",
 }
+#: Those of them that also take away an element inside a line.
+ADVERTS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertisements", "promo", "promotion", "sponsor", "sponsored", "share", "sharing"}
 ARTICLE = {"article", "main"}
 #: End tags that HTML lets one omit: what a start tag ends, and the elements beyond which it does not look for it.
 CELLS, ROWS = {"td", "th"}, {"thead", "tbody", "tfoot"}
@@ -88,29 +93,47 @@ class Lines:
 
 
 def is_around(tag: str, attributes: str, articles: int) -> bool:
+    """Whether the tag alone, being hidden, or an advert's name inside a line says that an element is no article text."""
     if tag in AROUND:
         return not (tag == "header" and articles)
-    if tag in ("html", "body") or not attributes:
-        return False
-    if tag == "main":  # by definition the page's main content, whatever its names
-        return bool(HIDDEN.search(attributes))
-    words = {w for groups in NAMED.findall(attributes) for w in WORD.findall("".join(groups).lower())}
-    return bool(words & NAMES) or bool(HIDDEN.search(attributes)) and tag not in INLINE
+    if tag in INLINE:
+        return any(ADVERTS.issuperset(WORD.findall(t)) for groups in NAMED.findall(attributes) for t in "".join(groups).lower().split() if WORD.search(t))
+    return tag not in ("html", "body") and bool(attributes) and bool(HIDDEN.search(attributes))
 
 
-def ended_by(tag: str, open_tags: list[str]) -> int:
-    """Of the open elements, how many stay open at this start tag."""
+def named_around(tag: str, attributes: str) -> int:
+    """2 if a class, id or role of an element names what is no article text, 1 if one has such a word, else 0.
+
+    Elements inside a line, and the page's main content by definition, are what they are whatever their names;
+    an article is no article text only if that is its whole name.
+    """
+    if not attributes or tag in INLINE or tag in ("html", "body", "main"):
+        return 0
+    level = 0
+    for groups in NAMED.findall(attributes):
+        for token in "".join(groups).lower().split():
+            words = WORD.findall(token)
+            if words and NAMES.issuperset(words):
+                return 2
+            level = level or int(tag not in ARTICLE and not NAMES.isdisjoint(words))
+    return level
+
+
+def ended_by(tag: str, open_tags: list[str], counts: Counter[str]) -> int:
+    """Of the open elements, how many stay open at this start tag. ``counts`` says how many are open of each tag."""
     keep = len(open_tags)
-    if tag in P_ENDS:
+    if tag in P_ENDS and counts["p"]:
         for i in range(keep - 1, -1, -1):
             if open_tags[i] == "p":
                 keep = i
                 break
             if open_tags[i] in P_HELD:
                 break
-    if tag not in IN_HEAD and "head" in open_tags:
+    if tag not in IN_HEAD and counts["head"]:
         keep = min(keep, open_tags.index("head"))
     ended, held = ENDS.get(tag, ((), ()))
+    if not any(counts[t] for t in ended):
+        return keep
     for i in range(keep - 1, -1, -1):
         if open_tags[i] in ended:
             keep = i
@@ -119,8 +142,10 @@ def ended_by(tag: str, open_tags: list[str]) -> int:
     return keep
 
 
-def closed_by(tag: str, open_tags: list[str]) -> int:
+def closed_by(tag: str, open_tags: list[str], counts: Counter[str]) -> int:
     """Of the open elements, how many stay open at this end tag: all, if it is a stray one."""
+    if not counts[tag]:
+        return len(open_tags)
     for i in range(len(open_tags) - 1, -1, -1):
         if open_tags[i] == tag:
             return i
@@ -130,10 +155,30 @@ def closed_by(tag: str, open_tags: list[str]) -> int:
     return len(open_tags)
 
 
-def page_lines(page: str) -> Lines:
-    """Lines of a page. ``skip`` is the place of the skipped element among the open ones, if there is one."""
-    lines, at, links, articles = Lines(), 0, 0, 0
+def page_lines(page: str, skipped: frozenset[int] = frozenset()) -> tuple[Lines, dict[int, tuple[int, int]], int]:
+    """Lines of a page without the elements that start at the places in ``skipped``.
+
+    Also returns, for the elements whose names tell that they may be no article text, their start with the level of
+    the name and the length of their text outside links, and that length of the page. ``skip`` is the place of
+    the skipped element among the open ones, if there is one.
+    """
+    lines, at, links, articles, seen = Lines(), 0, 0, 0, 0
     open_tags: list[str] = []
+    counts: Counter[str] = Counter()
+    marks: list[tuple[int, int, int] | None] = []  # of the open ones: start, level, text before
+    named: dict[int, tuple[int, int]] = {}
+
+    def opened(tag: str, mark: tuple[int, int, int] | None = None) -> None:
+        open_tags.append(tag)
+        counts[tag] += 1
+        marks.append(mark)
+
+    def ended(left: int) -> None:
+        for start, level, before in filter(None, marks[left:]):
+            named[start] = (level, seen - before)
+        counts.subtract(open_tags[left:])
+        del open_tags[left:], marks[left:]
+
     skip: int | None = None
     for token in TOKEN.finditer(page):
         if token.start() < at:
@@ -141,8 +186,9 @@ def page_lines(page: str) -> Lines:
         if skip is None:
             piece = page[at : token.start()]
             lines.parts.append(piece)
-            if links:
-                lines.linked += len(" ".join(piece.split()))
+            size = len(" ".join(piece.split()))
+            lines.linked += size if links else 0
+            seen += 0 if links else size
         at = token.end()
         tag = token[1]
         if tag is None:
@@ -156,7 +202,7 @@ def page_lines(page: str) -> Lines:
         if closing and tag in INLINE and (skip is None or open_tags[skip] != tag):
             left = len(open_tags)  # inline elements are open ones only where they are skipped
         else:
-            left = closed_by(tag, open_tags) if closing else ended_by(tag, open_tags)
+            left = closed_by(tag, open_tags, counts) if closing else ended_by(tag, open_tags, counts)
         if left < len(open_tags):
             gone = 0  # articles that end; those inside a skipped element do not count
             if skip is None:
@@ -169,10 +215,10 @@ def page_lines(page: str) -> Lines:
                 if gone:
                     lines.end(bool(articles), GAP)
             articles -= gone
-            del open_tags[left:]
+            ended(left)
         if skip is not None:
             if not closing and not empty and (tag not in INLINE or tag == open_tags[skip]):
-                open_tags.append(tag)
+                opened(tag)
         elif closing and tag not in INLINE:
             lines.end(bool(articles))
             links = 0
@@ -182,25 +228,35 @@ def page_lines(page: str) -> Lines:
             lines.parts.append(" ")
         elif closing:
             continue
-        elif not empty and is_around(tag, attributes, articles):
+        elif not empty and (token.start() in skipped or is_around(tag, attributes, articles)):
             lines.end(bool(articles), 1)
             skip = len(open_tags)
-            open_tags.append(tag)
+            opened(tag)
         elif tag not in INLINE:
             lines.end(bool(articles), GAP if tag in ARTICLE and not empty else tag == "hr")
             links = 0
             if not empty:
                 articles += tag in ARTICLE
-                open_tags.append(tag)
+                level = named_around(tag, attributes)
+                opened(tag, (token.start(), level, seen) if level else None)
     if skip is None and at < len(page):
         lines.parts.append(page[at:])
+        seen += len(" ".join(page[at:].split()))
     lines.end(bool(articles))
-    return lines
+    ended(0)
+    return lines, named, seen
+
+
+def article_lines(page: str) -> Lines:
+    """Lines of a page without what its names tell to be no article text."""
+    lines, named, total = page_lines(page)
+    skipped = {start for start, (level, size) in named.items() if size < SURGE or 3 * size < 2 * total or level == 2 and total - size >= SURGE}
+    return page_lines(page, frozenset(skipped))[0] if skipped else lines
 
 
 def main_text(page: str) -> str:
     """The main text of one page, blocks joined by line ends."""
-    lines = page_lines(page)
+    lines = article_lines(page)
     weights = lines.weights
     sums, total = [], sum(weights[: WIDTH - 1])
     for i in range(len(weights)):  # text of the lines i to i + WIDTH - 1

@@ -200,3 +200,34 @@ def test_short_blocks_in_wrappers_are_kept():
 )
 def test_skipped_elements_end_where_html_ends_them(page, text):
     assert html_text.main_text(page) == text
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        '<div class="content-sidebar-wrap">', '<div class="elementor-widget elementor-widget-text-editor">', '<div id="page" class="has-sidebar">',
+        '<article class="post no-comments">', '<article class="post comments-open">', '<div class="widget">',
+    ],
+)
+def test_names_do_not_take_the_article_away(wrapper):
+    tag = wrapper[1:].split()[0]
+    page = f"<html><body><nav>Home</nav>{wrapper}<p>{LONG_TEXT}</p><p>{LONG_TEXT}</p></{tag}><div class='ad'>Buy now</div><div class='site-footer'>All rights</div></body></html>"
+    assert html_text.main_text(page) == f"{LONG_TEXT}\n{LONG_TEXT}"
+
+
+def test_names_inside_a_line_do_not_cut_it():
+    page = f"<p>{LONG_TEXT} <span class='notice'>and this</span> <label>or that</label>.</p><div class='comments'>{'nice! ' * 9}</div>"
+    assert html_text.main_text(page) == f"{LONG_TEXT} and this or that."
+
+
+def test_comments_go_however_long_they_are():
+    page = f"<div class='has-sidebar'><p>{LONG_TEXT}</p><div id='comments'>{'<p>so true, so true, I say. </p>' * 60}</div></div>"
+    assert html_text.main_text(page) == LONG_TEXT
+
+
+def test_very_many_open_elements():
+    import time
+
+    start = time.time()
+    assert html_text.main_text("<div>" * 200_000 + f"<p>{LONG_TEXT}") == LONG_TEXT
+    assert time.time() - start < 20
