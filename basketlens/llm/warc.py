@@ -61,15 +61,22 @@ def _record(kind: str, fields: list[tuple[str, object]], block: bytes) -> bytes:
 
 
 def chunk_records(pages: DataFrame, chunk_bytes: int, date: str) -> DataFrame:
-    """One row per WARC record of (id, url, response_id, body): the record's bytes as text."""
+    """One row per WARC record of (id, url, response_id, body): the record's bytes as text.
+
+    A written record is named by its page and a number of its own, so rows that repeat a key stay apart. Payloads
+    are cut as they are written: chunks go on to Spark whenever ``FLUSH_BYTES`` of them are ready.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, record = TaskContext.get().partitionId(), 0
         for batch in batches:
             ready, held = [], 0
             bodies = binary_column(batch, "body")
             for i in range(len(batch)):
                 page, url, response = (batch.column(c)[i].as_py() for c in range(3))
-                name = "" if page is None else page
+                name, record = f"{'' if page is None else page}:{part}-{record}", record + 1
                 url = "".join(c for c in (url or "") if c.isprintable())
                 common = [("WARC-Date", date), ("WARC-Target-URI", url)]
                 body = bodies[i].as_buffer()
@@ -80,24 +87,26 @@ def chunk_records(pages: DataFrame, chunk_bytes: int, date: str) -> DataFrame:
                     ready.append(_record("revisit", [("WARC-Record-ID", f"<urn:page:{name}>"), *common, *extra, profile], b""))
                 else:
                     carried, total = hashlib.sha1(), len(body) + len(HTTP_HEAD)
-                    pieces = list(cut(body, chunk_bytes)) if len(body) > chunk_bytes or MARK in bytes(body) else [bytes(body)]
-                    for number, piece in enumerate(pieces, 1):
+                    pieces, number = cut(body, chunk_bytes), 1
+                    piece, ahead = next(pieces), next(pieces, None)
+                    while piece is not None:
                         carried.update(piece)
                         fields = [("WARC-Record-ID", f"<urn:page:{name}>" if number == 1 else f"<urn:page:{name}:{number}>"), *common]
-                        if len(pieces) > 1:
+                        if number > 1 or ahead is not None:
                             fields.append(("WARC-Segment-Number", number))
                             if number > 1:
                                 fields.append(("WARC-Segment-Origin-ID", f"<urn:page:{name}>"))
-                            if number == len(pieces):
+                            if ahead is None:
                                 fields.append(("WARC-Segment-Total-Length", total))
-                        fields.append(("X-Digest-So-Far" if number < len(pieces) else "WARC-Payload-Digest", f"sha1:{base32(carried.digest())}"))
+                        fields.append(("WARC-Payload-Digest" if ahead is None else "X-Digest-So-Far", f"sha1:{base32(carried.digest())}"))
                         if number == 1:
                             fields.append(("Content-Type", "application/http; msgtype=response"))
                         ready.append(_record("response" if number == 1 else "continuation", fields, (HTTP_HEAD if number == 1 else b"") + piece))
-                held += len(body)
-                if held >= FLUSH_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(ready, pa.binary())], ["value"])
-                    ready, held = [], 0
+                        held += len(piece)
+                        if held >= FLUSH_BYTES:
+                            yield pa.RecordBatch.from_arrays([pa.array(ready, pa.binary())], ["value"])
+                            ready, held = [], 0
+                        piece, ahead, number = ahead, next(pieces, None) if ahead is not None else None, number + 1
             if ready:
                 yield pa.RecordBatch.from_arrays([pa.array(ready, pa.binary())], ["value"])
 
@@ -137,7 +146,7 @@ def write_archives(
 def read_chunks(spark: SparkSession, path: str) -> DataFrame:
     """The chunked record table of the archives under ``path``.
 
-    (page_id, record_type, refers_to, declared, chunk, whole, n_bytes, so_far, data): ``whole`` tells that
+    (page_id, record, record_type, refers_to, declared, chunk, whole, n_bytes, so_far, data): ``whole`` tells that
     the record has this one chunk, whose digest is then in ``so_far`` and whose data are not repeated.
     """
 
@@ -161,21 +170,22 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
                     block = block.partition(BLANK.encode())[2]
                 number = int(fields.get("WARC-Segment-Number", 1))
                 origin = fields.get("WARC-Segment-Origin-ID", fields["WARC-Record-ID"]).removeprefix("<urn:page:").rstrip(">")
+                origin, _, record = origin.partition(":")
                 refers = fields.get("WARC-Refers-To", "").removeprefix("<urn:page:").rstrip(">")
                 whole = "WARC-Segment-Number" not in fields
                 declared = fields.get("WARC-Payload-Digest", "").removeprefix("sha1:") or None
                 so_far = base32(hashlib.sha1(block).digest()) if whole and kind != "revisit" else None
                 rows.append((
-                    int(origin) if origin else None, "revisit" if kind == "revisit" else "response", int(refers) if refers else None,
+                    int(origin) if origin else None, record, "revisit" if kind == "revisit" else "response", int(refers) if refers else None,
                     declared, number, whole, len(block), so_far, None if whole else block,
                 ))
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 9
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 10
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    names = ["page_id", "record_type", "refers_to", "declared", "chunk", "whole", "n_bytes", "so_far", "data"]
-    types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.int64(), pa.string(), pa.binary()]
+    names = ["page_id", "record", "record_type", "refers_to", "declared", "chunk", "whole", "n_bytes", "so_far", "data"]
+    types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.int64(), pa.string(), pa.binary()]
     lines = spark.read.option("lineSep", MARK.decode()).text(path).select(F.col("value").cast("binary").alias("value"))
-    schema = "page_id bigint, record_type string, refers_to bigint, declared string, chunk int, whole boolean, n_bytes bigint, so_far string, data binary"
+    schema = "page_id bigint, record string, record_type string, refers_to bigint, declared string, chunk int, whole boolean, n_bytes bigint, so_far string, data binary"
     return lines.mapInArrow(run, schema)
 
 
@@ -186,7 +196,7 @@ def fold_chunks(chunks: DataFrame) -> DataFrame:
         carried, length = hashlib.sha1(), 0
         for batch in batches:
             rows = []
-            for page, kind, refers, declared, chunk, whole, n, so_far, data in zip(*(c for c in batch.columns), strict=True):
+            for page, _, kind, refers, declared, chunk, whole, n, so_far, data in zip(*(c for c in batch.columns), strict=True):
                 if whole.as_py():
                     digest, total = so_far.as_py() or declared.as_py(), n.as_py()
                 else:
@@ -206,8 +216,7 @@ def fold_chunks(chunks: DataFrame) -> DataFrame:
     names = ["page_id", "record_type", "refers_to", "payload_digest", "payload_bytes"]
     types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
     # the rows of one record in chunk order; records that are whole need no company
-    salted = chunks.withColumn("salt", F.when(F.col("whole"), F.xxhash64("page_id", "so_far")).otherwise(F.col("page_id")))
-    met = salted.repartition("salt").sortWithinPartitions("page_id", "chunk").drop("salt")
+    met = chunks.repartition("record").sortWithinPartitions("record", "chunk")
     return met.mapInArrow(run, "page_id bigint, record_type string, refers_to bigint, payload_digest string, payload_bytes bigint")
 
 

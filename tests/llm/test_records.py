@@ -36,6 +36,27 @@ def test_archives_give_back_every_payload(spark, tmp_path):
         assert (r["record_type"], r["refers_to"]) == (("revisit", last[body[r["page_id"]]]) if again else ("response", None))
 
 
+def test_long_payloads_under_repeated_and_null_keys(spark, tmp_path):
+    """Two rows of one key and payload, two null keys, one key with two payloads, all of several chunks, and copies of one payload."""
+    long = {c: c * 200_000 for c in "abcdef"}
+    keyed = [(1, "a"), (1, "a"), (None, "b"), (None, "b"), (2, "c"), (2, "d"), (3, "e"), (4, "e"), (4, "e"), (5, "f")]
+    pages = spark.createDataFrame([(k, None, long[c]) for k, c in keyed], "page_id bigint, url string, html string").repartition(3)
+    warc.write_archives(pages, str(tmp_path / "a"))
+    found = [tuple(r) for r in warc.read_archives(spark, str(tmp_path / "a")).select("page_id", "payload_digest", "payload_bytes", "record_type", "refers_to").collect()]
+
+    def row(key, c, kind="response", refers=None):
+        return key, base64.b32encode(hashlib.sha1(long[c].encode()).digest()).decode(), 200_000, kind, refers
+
+    want = [row(3, "e", "revisit", 4) if (k, c) == (3, "e") else row(k, c) for k, c in keyed]
+    assert sorted(found, key=str) == sorted(want, key=str)
+
+
+def test_chunks_of_a_long_payload_are_handed_on_as_they_are_cut():
+    pieces = warc.cut(b"x" * (1 << 20) + warc.MARK + b"y", 1 << 16)
+    assert len(next(pieces)) == 1 << 16
+    assert sum(map(len, pieces)) == (1 << 20) - (1 << 16) + len(warc.MARK) + 1
+
+
 def test_small_payloads_are_all_responses_and_nothing_is_no_archive(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "same"), (2, "u", "same")], "page_id bigint, url string, html string")
     warc.write_archives(pages, str(tmp_path / "a"), least=5)
