@@ -65,6 +65,23 @@ def clean_retail(raw: DataFrame) -> DataFrame:
     return typed_lines(with_description(without_adjustments(product_lines(raw))))
 
 
+def cleaning_counts(raw: DataFrame) -> DataFrame:
+    """(step, name, lines): the lines left after each step of the cleaning, all counted in one pass."""
+    steps = {
+        "raw": F.lit(True),
+        "without cancellations": ~is_cancellation(F.col("InvoiceNo")),
+        "positive quantities": F.col("Quantity") > 0,
+        "without other codes": ~is_non_product(F.col("StockCode")),
+        "without adjustments": ~is_adjustment(F.col("Description")),
+        "with description": F.col("Description").isNotNull(),
+    }
+    counts, left = [], F.lit(True)
+    for number, (name, kept) in enumerate(steps.items()):
+        left = left & kept
+        counts.append(F.struct(F.lit(number).alias("step"), F.lit(name).alias("name"), F.count_if(left).alias("lines")))
+    return raw.agg(F.array(*counts).alias("counts")).select(F.inline("counts"))
+
+
 def cancellation_count(raw: DataFrame) -> DataFrame:
     return cancellations(raw).agg(F.count("*").alias("Total"))
 

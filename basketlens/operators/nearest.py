@@ -54,7 +54,7 @@ def _pairs(new: DataFrame, past: DataFrame, same_orders: bool, new_rows: DataFra
     return met.groupBy("basket_id", "order_id", "b_size", "o_size").agg(F.count("*").alias("overlap"))
 
 
-def _ranked_singles(sims: DataFrame, k: int, ties: bool) -> DataFrame:
+def ranked_singles(sims: DataFrame, k: int, ties: bool) -> DataFrame:
     by_sim = W.partitionBy("basket_id").orderBy(F.desc("sim"))
     if ties:
         kept = sims.withColumn("rank", F.rank().over(by_sim)).filter(F.col("rank") <= k)
@@ -89,7 +89,7 @@ def nearest_orders(
     new = past.withColumnRenamed("order_id", "basket_id") if same_orders else cut_lineage(_sized(new, "basket_id"))
     pairs = _pairs(new, past, same_orders, new.select("item"), past.select("item"))
     sims = pairs.select("basket_id", "order_id", cosine_of_sets(F.col("overlap"), F.col("b_size"), F.col("o_size")).alias("sim"))
-    return _ranked_singles(sims, k, ties).drop("rank")
+    return ranked_singles(sims, k, ties).drop("rank")
 
 
 def neighbour_items(found: DataFrame | NearestSets, past: DataFrame, k: int, ties: bool) -> DataFrame:

@@ -12,6 +12,8 @@ from basketlens.session import cut_lineage
 GROUP_ROWS = 20_000
 # joined rows to give one task
 TASK_PAIRS = 2_000_000
+# joined rows that one join group may give before it is split: a task gets several groups
+CELL_PAIRS = TASK_PAIRS // 4
 MOST_TASKS = 100_000
 # a join key with more rows than this may be hot
 HOT_ROWS = 50_000
@@ -70,13 +72,16 @@ def join_in_slices(
     group_rows: int = GROUP_ROWS,
     left_rows: DataFrame | None = None,
     right_rows: DataFrame | None = None,
+    cell_pairs: int = CELL_PAIRS,
 ) -> DataFrame:
     """Inner equi-join, planned by the number of joined rows instead of the size of its input.
 
     The rows per key are counted first. They tell how many rows the join will give, and so how many
     tasks it needs; adaptive execution would size the tasks by the small input. A key with more than
-    ``group_rows`` rows on a side is cut into a grid: each side by hash of its row id, and every
-    left slice meets every right slice once, in tasks of their own. No pair is lost or doubled.
+    ``group_rows`` rows on a side, or more than ``cell_pairs`` joined rows, is cut into a grid: each side
+    by hash of its row id, and every left slice meets every right slice once, in tasks of their own. A
+    cell gives about ``cell_pairs`` rows: both sides are cut to the square root of it, or the longer one
+    alone if the other is shorter than that. No pair is lost or doubled.
 
     ``left_rows`` and ``right_rows`` are tables to count instead, if those with the same keys exist
     in a cheaper form.
@@ -91,17 +96,21 @@ def join_in_slices(
     totals = counted.agg(
         F.sum(F.col("n_left").cast("double") * F.col("n_right")).alias("pairs"),
         F.max(F.greatest("n_left", "n_right")).alias("most"),
+        F.max(F.col("n_left").cast("double") * F.col("n_right")).alias("most_pairs"),
     ).first()
     spark = left.sparkSession
     wanted = int((totals["pairs"] or 0) / TASK_PAIRS) + 1
     tasks = min(max(wanted, spark.sparkContext.defaultParallelism), MOST_TASKS)
-    if (totals["most"] or 0) <= group_rows:
+    if (totals["most"] or 0) <= group_rows and (totals["most_pairs"] or 0) <= cell_pairs:
         return left.repartition(tasks, *keys).join(right.repartition(tasks, *keys), keys)
 
-    cuts = counted.filter(F.greatest("n_left", "n_right") > group_rows).select(
-        *keys,
-        F.ceil(F.col("n_left") / group_rows).alias("_cut_left"),
-        F.ceil(F.col("n_right") / group_rows).alias("_cut_right"),
+    def cut(own: str, other: str) -> Column:
+        kept = F.greatest(F.lit(cell_pairs**0.5), F.lit(float(cell_pairs)) / F.col(other))
+        return F.ceil(F.col(own) / F.least(F.lit(float(group_rows)), kept))
+
+    large = (F.greatest("n_left", "n_right") > group_rows) | (F.col("n_left").cast("double") * F.col("n_right") > cell_pairs)
+    cuts = counted.filter(large).select(
+        *keys, cut("n_left", "n_right").alias("_cut_left"), cut("n_right", "n_left").alias("_cut_right")
     )
 
     def sliced(df: DataFrame, own: str, other: str, row_id: str) -> DataFrame:

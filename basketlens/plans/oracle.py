@@ -75,12 +75,27 @@ SELECT InvoiceNo, StockCode, Description, Quantity, strftime(InvoiceDate, '%Y-%m
   CustomerID, Country, l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, CAST(Date AS VARCHAR) AS Date, Time
 FROM clean"""
 SQL["cancellation_count"] = _with(RAW) + "SELECT count(*) AS Total FROM raw WHERE contains(InvoiceNo, 'C')"
+SQL["cleaning_counts"] = RETAIL + """
+SELECT CAST(0 AS INT) AS step, 'raw' AS name, count(*) AS lines FROM raw UNION ALL
+SELECT 1, 'without cancellations', count(*) FROM raw_kept UNION ALL
+SELECT 2, 'positive quantities', count(*) FROM sold UNION ALL
+SELECT 3, 'without other codes', count(*) FROM products UNION ALL
+""" + f"""
+SELECT 4, 'without adjustments', count(*) FROM products WHERE NOT coalesce(Description IN ({_texts(ADJUSTMENT_DESCRIPTIONS)}), false) UNION ALL
+SELECT 5, 'with description', count(*) FROM clean"""
 SQL["adjustment_audit"] = _with(RAW, KEPT) + """
 SELECT Description, UnitPrice, count(*) AS count FROM raw_kept WHERE Quantity <= 0 GROUP BY 1, 2"""
 SQL["stockcode_audit"] = _with(RAW, KEPT, SOLD) + f"""
 SELECT StockCode, Description, count(*) AS count FROM sold WHERE {_CODES} GROUP BY 1, 2"""
 SQL["product_line_count"] = _with(RAW, KEPT, SOLD, PRODUCTS) + "SELECT count(*) AS n_rows FROM products"
 
+SQL["text_lines"] = _with(RAW) + """
+SELECT InvoiceNo, StockCode, Description, Quantity, strftime(InvoiceDate, '%Y-%m-%d %H:%M:%S') AS InvoiceDate, UnitPrice, CustomerID, Country
+FROM raw WHERE l_partkey % 43 <> 0"""
+SQL["text_line_report"] = _with(RAW) + """
+SELECT count(*) AS lines, count(*) FILTER (WHERE l_partkey % 43 = 0) AS broken_lines,
+  count(*) FILTER (WHERE l_partkey % 43 <> 0 AND CustomerID IS NULL) AS without_key FROM raw"""
+SQL["text_ratings"] = _with(PART_RATINGS) + "SELECT user_id, item, round(rating, 6) AS rating FROM ratings"
 SQL["first_lines"] = _with(RAW) + """
 SELECT * REPLACE (strftime(InvoiceDate, '%Y-%m-%d %H:%M:%S') AS InvoiceDate) FROM raw ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice LIMIT 6"""
 _PROFILED = {
@@ -218,6 +233,7 @@ SELECT basket_id, item, round(score, 6) AS score, round(support_sim, 6) AS suppo
 SQL["new_basket_recommend"] = _with(NEW_AND_PAST) + """
 SELECT basket_id, item AS Recommendations, round(support_sim, 6) AS support_sim FROM scored s
 WHERE score > 0 AND NOT EXISTS (SELECT 1 FROM new n WHERE n.basket_id = s.basket_id AND n.item = s.item)"""
+SQL["stored_basket_recommend"] = SQL["new_basket_recommend"]
 
 PLAIN = "vals AS (SELECT user_id, item, rating AS v FROM ratings)"
 

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import partial
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.functions.columns import pasted
 from basketlens.operators import baskets as B
-from basketlens.operators import cf, clean, evaluate, explore, models, profile, recommend, rules
+from basketlens.operators import cf, clean, evaluate, explore, models, profile, recommend, rules, stored
 from basketlens.plans import views as V
+from basketlens.schema import RAW_RETAIL
+from basketlens.session import shared_folder
+from basketlens.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +43,10 @@ def clean_retail(spark, folder):
     return lines.withColumn("InvoiceDate", F.date_format("InvoiceDate", "yyyy-MM-dd HH:mm:ss")).withColumn("Date", F.col("Date").cast("string"))
 
 
+def cleaning_counts(spark, folder):
+    return clean.cleaning_counts(V.retail_raw(spark, folder))
+
+
 def cancellation_count(spark, folder):
     return clean.cancellation_count(V.retail_raw(spark, folder))
 
@@ -55,6 +63,26 @@ def product_line_count(spark, folder):
     return profile.row_count(clean.product_lines(V.retail_raw(spark, folder)))
 
 
+# reading and storing -------------------------------------------------------------------------
+
+
+def text_lines(spark, folder):
+    """Sales lines read from text files, saved as a table, read again."""
+    path = shared_folder(spark, "retail-lines")
+    tables.save_table(tables.read_raw_retail(spark, V.retail_text(spark, folder)), path)
+    return tables.read_table(spark, path).withColumn("InvoiceDate", F.date_format("InvoiceDate", "yyyy-MM-dd HH:mm:ss"))
+
+
+def text_line_report(spark, folder):
+    return tables.line_report(tables.read_checked_text(spark, V.retail_text(spark, folder), RAW_RETAIL), "CustomerID")
+
+
+def text_ratings(spark, folder):
+    path = shared_folder(spark, "ratings-text")
+    tables.save_text(V.part_ratings(spark, folder), path)
+    return rounded(tables.read_ratings(spark, path, "csv"), 6, "rating")
+
+
 # profiling -----------------------------------------------------------------------------------
 
 
@@ -194,6 +222,13 @@ def new_basket_recommend(spark, folder):
     return rounded(recommend.recommend_unseen(new, past), 6, "support_sim")
 
 
+def stored_basket_recommend(spark, folder):
+    """The same from past orders that were stored once, by item and by order."""
+    new, past = V.new_and_past(spark, folder)
+    orders = stored.store_orders(past, f"orders_{uuid4().hex}", shared_folder(spark, "orders"))
+    return rounded(stored.recommend_unseen(new, orders), 6, "support_sim")
+
+
 # similarities and predictions ----------------------------------------------------------------
 
 
@@ -361,10 +396,14 @@ def basket_folds(spark, folder):
 
 QUERIES: dict[str, Query] = {
     "clean_retail": clean_retail,
+    "cleaning_counts": cleaning_counts,
     "cancellation_count": cancellation_count,
     "adjustment_audit": adjustment_audit,
     "stockcode_audit": stockcode_audit,
     "product_line_count": product_line_count,
+    "text_lines": text_lines,
+    "text_line_report": text_line_report,
+    "text_ratings": text_ratings,
     "first_lines": first_lines,
     "null_profile": null_profile,
     "distinct_with_null": distinct_with_null,
@@ -392,6 +431,7 @@ QUERIES: dict[str, Query] = {
     "name_basket_recommend": name_basket_recommend,
     "new_basket_scores": new_basket_scores,
     "new_basket_recommend": new_basket_recommend,
+    "stored_basket_recommend": stored_basket_recommend,
     "item_cosine": item_cosine,
     "item_jaccard": item_jaccard,
     "item_products": item_products,

@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.operators.baskets import make_baskets
-from basketlens.sources.tables import read_table, trim_texts
+from basketlens.schema import RAW_RETAIL
+from basketlens.session import shared_folder
+from basketlens.sources.tables import read_table, save_text, trim_texts
 
 # columns that put the sales lines in a fixed order, for keep-first
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice"]
@@ -52,6 +54,15 @@ def retail_raw(spark: SparkSession, folder: str) -> DataFrame:
     return trim_texts(lines)
 
 
+def retail_text(spark: SparkSession, folder: str) -> str:
+    """Folder of the raw sales lines as text files, some with a quantity that is no number."""
+    amount = F.col("Quantity").cast("string")
+    lines = retail_raw(spark, folder).withColumn("Quantity", F.when(F.col("l_partkey") % 43 == 0, F.concat(amount, F.lit(" pcs"))).otherwise(amount))
+    path = shared_folder(spark, "retail-text")
+    save_text(lines.select(*RAW_RETAIL.names), path)
+    return path
+
+
 def part_baskets(spark: SparkSession, folder: str) -> DataFrame:
     """Orders as baskets of parts: many items, each in few orders."""
     return make_baskets(table(spark, folder, "lineitem"), "l_orderkey", "l_partkey")

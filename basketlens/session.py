@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,14 +28,10 @@ def local_session(app: str = "basketlens", cores: str = "*", partitions: int = 8
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write a table that several later steps read to the shared checkpoint folder.
-
-    The folder comes from ``spark.checkpoint.dir``. Only a local session without one gets a
-    temporary folder; a cluster without one is an error, since a folder on one machine would be
-    lost with it.
+def _checkpoint_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``. Only a local session without one gets a temporary
+    folder; a cluster without one is an error, since a folder on one machine would be lost with it.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -43,4 +40,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
             folder = tempfile.mkdtemp(prefix="basketlens-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write a table that several later steps read to the shared checkpoint folder."""
+    _checkpoint_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path that all executors share, for tables and files of one run."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _checkpoint_folder(spark)
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
