@@ -106,11 +106,31 @@ def test_exact_copies(docs, texts, cluttered, none, odd):
     assert {r["keep_id"] for r in exact_dedup.exact_duplicates(docs, keep="smallest").collect()} == {min(keys) for keys in same.values()}
 
 
-def test_runs_merge_over_several_rounds(docs):
-    spread = docs.repartition(7)
-    runs, number = exact_dedup.digest_runs(spread, "doc_id", "text")
-    assert number > 2
-    assert exact_dedup.merge_runs(runs, number, "largest", 2).count() == docs.selectExpr("coalesce(text, '')").distinct().count()
+def test_digest_runs_merge_in_rounds(docs):
+    """Each run is sorted and names a text once; every round leaves half as many runs and merges once."""
+    rows, number = exact_dedup.digest_rows(docs.repartition(9), "doc_id", "text")
+    assert number > 4 and exact_dedup.rounds(number, 2)[-1] == 1 and exact_dedup.rounds(9, 2) == [5, 3, 2, 1] and exact_dedup.rounds(1, 2) == []
+    runs = exact_dedup.cut_lineage(exact_dedup._merged(rows, "largest"))
+    for part in runs.rdd.glom().collect():
+        marks = [tuple(r[m] for m in ("run", *exact_dedup.MARKS)) for r in part]
+        assert marks == sorted(set(marks))
+    assert runs.agg({"group_size": "sum"}).first()[0] == docs.count()
+    merged = exact_dedup.merge_runs(runs, number, "largest", 2)
+    plan = merged._jdf.queryExecution().analyzed().toString()
+    assert plan.count("MapInArrow") == len(exact_dedup.rounds(number, 2))
+    assert merged.count() == docs.selectExpr("coalesce(text, '')").distinct().count()
+
+
+def test_equal_digests_of_other_texts_stay_apart(spark):
+    """Rows that agree in the digest but not in length or second hash are not merged, also across batches."""
+    rows = [(0, b"a", n, c, i, 1) for i, (n, c) in enumerate([(1, 1), (1, 2), (2, 1), (1, 1), (2, 1)] * 40)]
+    table = spark.createDataFrame(rows, "run int, digest binary, n_bytes bigint, check bigint, keep_id bigint, group_size bigint").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        found = exact_dedup._merged(table, "largest").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [(r.n_bytes, r.check, r.keep_id, r.group_size) for r in found] == [(1, 1, 198, 80), (1, 2, 196, 40), (2, 1, 199, 80)]
 
 
 @pytest.mark.parametrize("most_stretches", [2048, 2])
