@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import floor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
+from basketlens.session import cut_lineage
+
 QUARTILES = [0.25, 0.5, 0.75]
+# distinct values that one task puts in order
+ORDERED_VALUES = 100_000
+# parts that a bracket of values is cut into where it holds more
+PARTS = 64
+BRACKET = "column string, share double, rank double, `from` double, `to` double, values bigint"
 
 
 def first_rows(df: DataFrame, *order: str, n: int = 6) -> DataFrame:
@@ -41,50 +49,73 @@ def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(*[distinct(c) for c in columns]).unpivot([], columns, "column", "n_distinct")
 
 
-def exact_percentiles(df: DataFrame, columns: list[str], shares: list[float]) -> DataFrame:
+def _narrowed(counted: DataFrame, brackets: list[tuple]) -> list[tuple]:
+    """Brackets around the same ranks with fewer distinct values in them.
+
+    Each bracket is cut at values of its own column into ``PARTS`` parts, the rows of each part and those on
+    each cut are counted, and the part or cut that holds the rank is the new bracket. The counts are exact, so
+    it does not matter how well the cuts were chosen. Counts are collected: at most two per cut.
+    """
+    wide = counted.sparkSession.createDataFrame(brackets, BRACKET)
+    held = counted.join(F.broadcast(wide), "column").filter("value >= `from` AND value <= `to`")
+    shares = [i / PARTS for i in range(1, PARTS)]
+    cuts = held.groupBy("column", "share").agg(
+        F.array_sort(
+            F.array_distinct(F.concat(F.percentile_approx("value", shares, 100 * PARTS), F.array(F.first("from"), F.first("to"))))
+        ).alias("cuts")
+    )
+    # one row per (column, share) and PARTS values in it, so the broadcast is bounded
+    placed = counted.join(F.broadcast(cuts), "column").select(
+        "column",
+        "share",
+        "cuts",
+        F.size(F.filter("cuts", lambda cut: cut <= F.col("value"))).alias("place"),
+        F.array_contains("cuts", F.col("value")).alias("on"),
+        "copies",
+    )
+    counts = placed.groupBy("column", "share", "place", "on").agg(
+        F.sum("copies").alias("rows"), F.count("*").alias("values"), F.first("cuts").alias("cuts")
+    )
+    parts = {}
+    for r in counts.collect():
+        parts.setdefault((r["column"], r["share"]), []).append((r["place"], not r["on"], r["rows"], r["values"], r["cuts"]))
+    found = []
+    for column, share, rank, *_ in brackets:
+        upto = 0
+        for place, between, rows, values, at in sorted(parts[column, share]):
+            upto += rows
+            if upto > floor(rank):
+                break
+        found.append((column, share, rank, at[place - 1], at[place] if between else at[place - 1], values + 2 * between))
+    return found
+
+
+def exact_percentiles(df: DataFrame, columns: list[str], shares: list[float], most_values: int = ORDERED_VALUES) -> DataFrame:
     """Exact percentiles, linear between neighbours, without one task holding a whole column.
 
-    A sketch brackets each wanted rank between two values; the rows below a bracket are only
-    counted, and only the few distinct values inside a bracket are put in order.
-    Result: (column, share, value).
+    Each wanted rank has a bracket of two values of its column. Brackets with more than ``most_values`` distinct
+    values are narrowed by counts, all of them in the same jobs, and then the values inside are put in order;
+    the rows below a bracket are only counted. Result: (column, share, value).
     """
     long = df.select([F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [], columns, "column", "value"
     ).filter("value is not null")
-    accuracy = 100_000
-    margin = 2.0 / accuracy
-    edges = [max(s - margin, 0.0) for s in shares] + [min(s + margin, 1.0) for s in shares]
-    sketch = long.groupBy("column").agg(
-        F.percentile_approx("value", edges, accuracy).alias("edges"),
-        F.count("*").alias("n"),
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
+    # read once per narrowing
+    counted = cut_lineage(long.groupBy("column", "value").agg(F.count("*").alias("copies")))
+    ends = counted.groupBy("column").agg(
+        F.sum("copies").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"), F.count("*").alias("values")
     )
-    brackets = sketch.select(
-        "column",
-        "n",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(s).alias("share"),
-                        (F.lit(s) * (F.col("n") - 1)).alias("rank"),
-                        # a sketch answers with a value of the column, so min and max bound it
-                        F.greatest(F.col("edges")[i], F.col("low")).alias("from"),
-                        F.least(F.col("edges")[i + len(shares)], F.col("high")).alias("to"),
-                    )
-                    for i, s in enumerate(shares)
-                ]
-            )
-        ).alias("b"),
-    ).select("column", "b.*")
+    ready, wide = [], [(r["column"], s, s * (r["n"] - 1), r["low"], r["high"], r["values"]) for r in ends.collect() for s in shares]
+    while wide:
+        ready += [b for b in wide if b[-1] <= max(most_values, 2)]
+        wide = [b for b in wide if b[-1] > max(most_values, 2)]
+        wide = _narrowed(counted, wide) if wide else []
     # one row per (column, share): as many rows as the caller named, so the broadcast is bounded
-    counted = long.groupBy("column", "value").agg(F.count("*").alias("copies"))
+    brackets = df.sparkSession.createDataFrame(ready, BRACKET).drop("values")
     placed = counted.join(F.broadcast(brackets), "column")
     value, copies = F.col("value"), F.col("copies")
     outside = placed.groupBy("column", "share").agg(
         F.coalesce(F.sum(F.when(value < F.col("from"), copies)), F.lit(0)).alias("below"),
-        F.max(F.when(value < F.col("from"), value)).alias("previous"),
         F.min(F.when(value > F.col("to"), value)).alias("next"),
     )
     inside = placed.filter("value >= `from` and value <= `to`")
@@ -99,12 +130,11 @@ def exact_percentiles(df: DataFrame, columns: list[str], shares: list[float]) ->
     def at(rank):
         return F.max(F.when((F.col("first") <= rank) & (rank <= F.col("last")), value))
 
-    # a rank next to the bracket is the nearest value outside of it
-    low = F.coalesce(at(F.floor("rank")), F.first("previous"))
+    # a bracket holds the value at the rank's floor; the one after it may be the nearest value above the bracket
     high = F.coalesce(at(F.ceil("rank")), F.first("next"))
     return (
         ranked.groupBy("column", "share", "rank")
-        .agg(low.alias("v0"), high.alias("v1"))
+        .agg(at(F.floor("rank")).alias("v0"), high.alias("v1"))
         .select("column", "share", (F.expr("v0 + (v1 - v0) * (rank - floor(rank))")).alias("value"))
     )
 

@@ -75,6 +75,29 @@ def test_profile_views(spark):
     assert (rows["y"].n, rows["y"].n_null, rows["y"].p50) == (4, 2, None)
 
 
+@pytest.mark.parametrize("most_values", [2, 10, 300])
+def test_percentiles_are_the_same_when_brackets_are_narrowed(spark, most_values):
+    rows = spark.range(5000).select(
+        F.col("id").cast("double").alias("a"),
+        F.pmod(F.xxhash64("id"), F.lit(700)).alias("b"),  # about seven rows a value
+        F.when(F.col("id") % 3 != 0, F.lit(4.5)).otherwise(F.col("id")).alias("c"),  # two thirds are one value
+        F.lit(None).cast("double").alias("d"),
+    )
+    shares = [0.0, 0.001, 0.25, 0.5, 0.7, 1.0]
+    found = {(r["column"], r.share): r.value for r in profile.exact_percentiles(rows, ["a", "b", "c", "d"], shares, most_values).collect()}
+    assert len(found) == 3 * len(shares)
+    for c in "abc":
+        want = rows.agg(F.percentile(c, F.array(*map(F.lit, shares)))).first()[0]
+        assert [found[c, s] for s in shares] == pytest.approx(want)
+
+
+def test_narrowed_brackets_hold_their_rank_and_fewer_values(spark):
+    counted = spark.range(100_000).select(F.lit("a").alias("column"), F.col("id").cast("double").alias("value"), F.lit(2).alias("copies"))
+    [(column, share, rank, low, high, values)] = profile._narrowed(counted, [("a", 0.3, 59_999.7, 0.0, 99_999.0, 100_000)])
+    assert (column, share, rank) == ("a", 0.3, 59_999.7)
+    assert low <= 29_999 <= high and values == high - low + 1 and values < 2 * 100_000 / profile.PARTS
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 500])
 def test_exact_percentiles_equal_the_builtin(spark, n):
     df = spark.range(n).select(F.pmod(F.xxhash64("id"), F.lit(40)).cast("double").alias("a"), (F.col("id") * F.col("id")).cast("double").alias("b"))
