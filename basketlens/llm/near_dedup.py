@@ -52,6 +52,8 @@ ODD = [f"o{i}" for i in range(8)]
 OPENING = 8
 #: Times as many centres a bucket gets in each further round.
 GROWTH = 64
+#: Ids that may be broadcast, after a count.
+BROADCAST_IDS = 1_000_000
 #: Below so many full bins, all of them are ranked for each empty bin; above, the order is walked.
 FEW_BINS = 48
 
@@ -232,6 +234,11 @@ def _candidates(members: DataFrame, slices: int, least: tuple[int, int]) -> tupl
     return pairs, centres.select("bucket", F.col("centre.id").alias("id"))
 
 
+def _few(ids: DataFrame) -> DataFrame:
+    """The ids, to be broadcast if a count proves them few, so that the texts that they are held against need not move."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+
+
 def near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, least: tuple[int, int] = (85, 100), bands: int = 32, rows: int = 8
 ) -> DataFrame:
@@ -260,7 +267,7 @@ def near_duplicates(
         heads = waiting.select("id").distinct()
         if sets is None or not opening and slices == 1:  # sets of those that can still be paired
             missing = heads if sets is None else heads.join(sets.select("id"), "id", "left_anti")
-            found = shingle_sets(rows_in.join(missing, "id", "left_semi"), words).groupBy("id").agg(F.first("shingles").alias("shingles"))
+            found = shingle_sets(rows_in.join(_few(missing), "id", "left_semi"), words).groupBy("id").agg(F.first("shingles").alias("shingles"))
             found = keep(found, "sets")
             sets = found if sets is None else sets.unionByName(found)
         pairs, centres = _candidates(waiting.join(sizes, "id"), slices, least)
@@ -306,5 +313,5 @@ def near_duplicates(
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
-    gone = near_duplicates(docs, key, text, **options).where("NOT kept").select(F.col(key).alias("_dropped")).distinct()
-    return docs.join(gone, docs[key] == gone["_dropped"], "left_anti")
+    gone = keep(near_duplicates(docs, key, text, **options).where("NOT kept").select(F.col(key).alias("_dropped")).distinct(), "gone")
+    return docs.join(_few(gone), docs[key] == gone["_dropped"], "left_anti")
