@@ -92,6 +92,14 @@ def test_near_copies_edges(cluttered, none, odd, texts):
     assert near_dedup.drop_near_duplicates(odd).count() == 6
 
 
+def test_near_copies_when_ids_are_too_many_to_broadcast(cluttered, monkeypatch):
+    want = sorted(map(str, near_dedup.near_duplicates(cluttered).collect()))
+    kept = sorted(map(str, near_dedup.drop_near_duplicates(cluttered).collect()))
+    monkeypatch.setattr(near_dedup, "BROADCAST_IDS", 0)
+    assert sorted(map(str, near_dedup.near_duplicates(cluttered).collect())) == want
+    assert sorted(map(str, near_dedup.drop_near_duplicates(cluttered).collect())) == kept
+
+
 def test_exact_copies(docs, texts, cluttered, none, odd):
     found = as_map(exact_dedup.exact_duplicates(docs, fan_in=2), "keep_id", "group_size", "kept", "text_sha256")
     same = {}
