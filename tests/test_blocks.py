@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from basketlens.operators import blocks, cf, evaluate
+from basketlens.operators import blocks, cf, evaluate, models, recommend, rules
+from basketlens.session import cut_lineage
 
 
 def rating_rows(spark):
@@ -10,7 +11,7 @@ def rating_rows(spark):
 
 
 def sorted_rows(df, *digits):
-    return sorted(tuple(round(v, 8) if isinstance(v, float) else v for v in r) for r in df.collect())
+    return sorted((tuple(round(v, 8) if isinstance(v, float) else v for v in r) for r in df.collect()), key=str)
 
 
 @pytest.fixture
@@ -64,3 +65,28 @@ def test_no_pair_is_a_row_of_a_shuffle(spark):
     found = cf.find_similarities(rating_rows(spark).withColumn("v", F.col("rating")), entity="item", k=3)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "neighbour" not in plan.split("FlatMapGroupsInArrow", 1)[1].split("\n", 1)[1]
+
+
+def test_blocks_give_the_items_of_the_nearest_orders(spark, joined, monkeypatch):
+    rows = [(o, f"i{(o * 5 + j * j) % 23}") for o in range(50) for j in range(o % 5 + 1)]
+    orders = spark.createDataFrame([*sorted(set(rows)), (7, None)], "order_id int, item string").withColumn("fold", F.col("order_id") % 3)
+    given = orders.withColumnRenamed("order_id", "basket_id")
+    monkeypatch.setattr(blocks, "STEP_PAIRS", 7)
+    plain = orders.drop("fold")
+    for call in (
+        lambda: recommend.score_items_of_orders(plain, 2),
+        lambda: recommend.recommend_unseen_of_orders(plain, 2),
+        lambda: recommend.recommend_unseen(given.drop("fold").filter("basket_id < 9"), plain.filter("order_id >= 9"), 2),
+        lambda: models.user_based(orders, given, 3, folds=3, k=4),
+    ):
+        assert sorted_rows(call()) == joined(call)
+
+
+def test_rules_of_a_basket_stay_in_its_task(spark):
+    rows = [(o, f"i{(o + j) % 6}") for o in range(30) for j in range(o % 2 + 1)]
+    train = spark.createDataFrame(rows, "order_id int, item string")
+    given = cut_lineage(train.withColumnRenamed("order_id", "basket_id"))
+    found = rules.by_rules(train, given, 2, support=0.1)
+    # a shuffle of the baskets and one of the rules: none of what the rules give
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert sum("Exchange hashpartitioning" in line for line in plan.split("\n")) == 2
