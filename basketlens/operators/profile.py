@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from basketlens.session import cut_lineage
+from basketlens.session import cut_lineage, shared_folder
+from basketlens.sources.tables import read_table, save_table
 
 QUARTILES = [0.25, 0.5, 0.75]
 # distinct values that one task puts in order
@@ -139,35 +140,51 @@ def exact_percentiles(df: DataFrame, columns: list[str], shares: list[float], mo
     )
 
 
+def _profile_of(df: DataFrame, c: str, kind: T.DataType) -> DataFrame:
+    """One row, from the distinct values of the column with their numbers of rows."""
+    counted = df.groupBy(F.col(c).alias("value")).agg(F.count("*").alias("copies"))
+    value, copies, given = F.col("value"), F.col("copies"), F.col("value").isNotNull()
+    numeric = isinstance(kind, T.NumericType)
+    number = value.cast("double") if numeric else F.lit(None).cast("double")
+    length = F.char_length("value") if isinstance(kind, T.StringType) else F.lit(None).cast("int")
+    dated = isinstance(kind, T.TimestampType | T.TimestampNTZType | T.DateType)
+    day = F.date_format("value", "yyyy-MM-dd HH:mm:ss") if dated else F.lit(None).cast("string")
+    rows = F.sum(F.when(given, copies))
+    mean, spread = F.try_divide(F.sum(number * copies), rows), F.lit(None).cast("double")
+    if numeric:
+        counted = cut_lineage(counted)  # read for the mean and for the distances from it
+        middle = counted.agg(mean).scalar()
+        spread = F.sqrt(F.try_divide(F.sum(copies * (number - middle) * (number - middle)), rows - 1))
+    return counted.agg(
+        F.lit(c).alias("column"),
+        F.lit(kind.simpleString()).alias("type"),
+        F.coalesce(F.sum(copies), F.lit(0)).alias("n"),
+        F.coalesce(F.sum(F.when(~given, copies)), F.lit(0)).alias("n_null"),
+        F.count("value").alias("n_distinct"),
+        F.min(length).cast("double").alias("shortest"),
+        F.max(length).cast("double").alias("longest"),
+        F.min(day).alias("earliest"),
+        F.max(day).alias("latest"),
+        mean.alias("mean"),
+        spread.alias("sd"),
+        F.min(number).alias("min"),
+        F.max(number).alias("max"),
+    )
+
+
 def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """Type, count, nulls, distinct values; for numbers mean, spread and quartiles, for texts the shortest and
-    longest length, for dates the earliest and latest. One row per column."""
+    longest length, for dates the earliest and latest. One row per column.
+
+    The columns are written once; each is then read alone and counted by value, since distinct counts of several columns in
+    one pass would copy every row for each of them."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
     numeric = [f.name for f in df.schema.fields if f.name in columns and isinstance(f.dataType, T.NumericType)]
-
-    def base(c: str) -> DataFrame:
-        value = F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")
-        length = F.char_length(c) if isinstance(kinds[c], T.StringType) else F.lit(None).cast("int")
-        dated = isinstance(kinds[c], T.TimestampType | T.TimestampNTZType | T.DateType)
-        day = F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss") if dated else F.lit(None).cast("string")
-        return F.struct(
-            F.lit(c).alias("column"),
-            F.lit(kinds[c].simpleString()).alias("type"),
-            F.count("*").alias("n"),
-            F.count_if(F.col(c).isNull()).alias("n_null"),
-            F.count_distinct(F.col(c)).alias("n_distinct"),
-            F.min(length).cast("double").alias("shortest"),
-            F.max(length).cast("double").alias("longest"),
-            F.min(day).alias("earliest"),
-            F.max(day).alias("latest"),
-            F.avg(value).alias("mean"),
-            F.stddev_samp(value).alias("sd"),
-            F.min(value).alias("min"),
-            F.max(value).alias("max"),
-        )
-
-    rows = df.agg(*[base(c).alias(f"c{i}") for i, c in enumerate(columns)])
-    stacked = rows.select(F.explode(F.array(*[f"c{i}" for i in range(len(columns))])).alias("r")).select("r.*")
+    if len(columns) > 1:
+        path = shared_folder(df.sparkSession, "profile")
+        save_table(df.select(*columns), path)
+        df = read_table(df.sparkSession, path)
+    stacked = reduce(DataFrame.unionByName, [_profile_of(df, c, kinds[c]) for c in columns])
     if not numeric:
         return reduce(lambda d, p: d.withColumn(p, F.lit(None).cast("double")), ["p25", "p50", "p75"], stacked)
     quartiles = (
