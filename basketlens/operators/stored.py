@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from basketlens.functions.metrics import cosine_of_sets
 from basketlens.operators import recommend
 from basketlens.operators.nearest import neighbour_items, ranked_singles
-from basketlens.operators.skew import GROUP_ROWS
+from basketlens.operators.skew import GROUP_ROWS, TASK_PAIRS, tasks_for
 from basketlens.session import cut_lineage
 
 BUCKET_ROWS = 5_000_000
@@ -25,7 +25,7 @@ BUCKET_ROWS = 5_000_000
 class StoredOrders:
     by_item: DataFrame  # item, slice, order_id, o_size
     by_order: DataFrame  # order_id, item
-    items: DataFrame  # item, slices
+    items: DataFrame  # item, slices, n
 
 
 def _save(df: DataFrame, name: str, path: str, buckets: int, *keys: str) -> None:
@@ -43,10 +43,10 @@ def store_orders(past: DataFrame, name: str, folder: str, buckets: int | None =
     if buckets is None:
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), past.count() // BUCKET_ROWS + 1)
     slices = F.ceil(F.count("*") / slice_rows).cast("int").alias("slices")
-    past.groupBy("item").agg(slices).write.mode("overwrite").option("path", f"{folder}/items").saveAsTable(f"{name}_items")
+    past.groupBy("item").agg(slices, F.count("*").alias("n")).write.mode("overwrite").option("path", f"{folder}/items").saveAsTable(f"{name}_items")
     sizes = past.groupBy("order_id").agg(F.count("*").alias("o_size"))
     own = F.pmod(F.xxhash64("order_id"), F.col("slices")).cast("int").alias("slice")
-    by_item = past.join(sizes, "order_id").join(spark.table(f"{name}_items"), "item").select("item", own, "order_id", "o_size")
+    by_item = past.join(sizes, "order_id").join(spark.table(f"{name}_items").drop("n"), "item").select("item", own, "order_id", "o_size")
     _save(by_item, f"{name}_by_item", f"{folder}/by_item", buckets, "item", "slice")
     _save(past, f"{name}_by_order", f"{folder}/by_order", buckets, "order_id")
     return open_orders(spark, name)
@@ -65,7 +65,9 @@ def nearest_orders(new: DataFrame, orders: StoredOrders, k: int) -> DataFrame:
     every = F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice")
     wanted = known.join(sizes, "basket_id").select("basket_id", "b_size", "item", every)
     met = wanted.join(orders.by_item, ["item", "slice"])
-    pairs = met.groupBy("basket_id", "order_id", "b_size", "o_size").agg(F.count("*").alias("overlap"))
+    # dealt once for the sums and the ranking, to as many tasks as the stored counts say that there are pairs
+    tasks = tasks_for(known.agg(F.sum("n")).first()[0] or 0, TASK_PAIRS, known)
+    pairs = met.repartition(tasks, "basket_id").groupBy("basket_id", "order_id", "b_size", "o_size").agg(F.count("*").alias("overlap"))
     sim = cosine_of_sets(F.col("overlap"), F.col("b_size"), F.col("o_size")).alias("sim")
     return ranked_singles(pairs.select("basket_id", "order_id", sim), k, ties=True).drop("rank")
 
