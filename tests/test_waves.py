@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from basketlens.operators import blocks, cf, models, recommend
+from basketlens.operators import blocks, cf, models, recommend, rules
 from basketlens.session import cut_lineage, discard
 from tests.test_blocks import joined, rating_rows, sorted_rows  # noqa: F401
 
@@ -75,3 +75,28 @@ def test_discarded_tables_are_gone(spark):
     assert system.exists(path)
     discard(table)
     assert not system.exists(path)
+
+
+def test_sums_of_near_items_in_waves(spark, waves, monkeypatch):
+    orders = baskets(spark).withColumn("fold", F.col("order_id") % 3)
+    given = orders.withColumnRenamed("order_id", "basket_id").filter("item is not null")
+    given = given.unionByName(spark.createDataFrame([(None, "i1", 1), (None, "i4", 1), (60, "no such item", 2)], given.schema))
+
+    def found():
+        return sorted_rows(models.item_based(orders, given, 3, folds=3).select("basket_id", "item", "score", "rank"))
+
+    want = found()
+    assert not waves
+    monkeypatch.setattr(models, "BROADCAST_ROWS", 0)
+    assert found() == want
+    assert len(waves) > 1
+
+
+def test_rule_mining_leaves_its_result_alone_on_disk(spark, monkeypatch):
+    kept, gone = [], []
+    for module, name, log in ((rules, "cut_lineage", kept), (rules, "discard", gone)):
+        call = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, call=call, log=log: log.extend(a) or call(*a))
+    found = rules.mine_rules(baskets(spark).filter("item is not null"), 0.02, 0.01)
+    assert found.count() > 0
+    assert len(gone) >= 2
